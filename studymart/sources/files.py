@@ -4,7 +4,7 @@ from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,17 +89,29 @@ def typed(
     return raw.select(*columns, *extra)
 
 
+def _header(reader: DataFrameReader, paths: list[str], chosen: Column | None) -> list[str]:
+    """Column names in the first file, or in one of the chosen files."""
+    if chosen is not None:
+        found = reader.text(paths).where(chosen).select("_metadata.file_path").first()
+        if found is None:
+            raise MissingInput("no file matches in " + ", ".join(paths))
+        paths = [found.file_path]
+    return [c for c in reader.csv(paths).columns if c != DAY]
+
+
 def scan_csv_text(
     spark: SparkSession,
     paths: str | Sequence[str],
     header: Sequence[str] | None = None,
     glob: str | None = None,
+    file_pattern: str | None = None,
     base_path: str | None = None,
 ) -> DataFrame:
     """CSV with a header line, every column as text, malformed lines kept in a side column.
 
     Columns go by the names in the header, never by position: the header is read from the
-    files unless given, and a file whose header differs fails the scan.
+    files unless given, and a file whose header differs fails the scan. ``glob`` chooses
+    files by name, ``file_pattern`` by a regular expression on their paths.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("header", True).option("escape", '"')
@@ -107,11 +119,12 @@ def scan_csv_text(
         reader = reader.option("pathGlobFilter", glob)
     if base_path:
         reader = reader.option("basePath", base_path)
+    chosen = F.col("_metadata.file_path").rlike(file_pattern) if file_pattern else None
     try:
-        names = list(header) if header else [c for c in reader.csv(paths).columns if c != DAY]
+        names = list(header) if header else _header(reader, paths, chosen)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
         # Pruning would hide missing or surplus fields from the malformed-line check.
-        return (
+        text = (
             reader.schema(schema)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
@@ -119,6 +132,8 @@ def scan_csv_text(
             .option("columnPruning", False)
             .csv(paths)
         )
+        # A condition on file metadata drops files when the scan is planned.
+        return text if chosen is None else text.where(chosen)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise MissingInput(", ".join(paths)) from error
@@ -132,10 +147,9 @@ def scan_csv(
     null_tokens: Iterable[str] = NULL_TOKENS,
     rejects: str | None = None,
     missing_ok: bool = False,
-    file_pattern: str | None = None,
     **options,
 ) -> DataFrame:
-    """Typed CSV scan. ``file_pattern`` is a regular expression on file paths.
+    """Typed CSV scan; ``options`` are those of `scan_csv_text`.
 
     A missing path raises `MissingInput`, or gives no rows with ``missing_ok``.
     """
@@ -145,9 +159,6 @@ def scan_csv(
         if not missing_ok:
             raise
         return spark.createDataFrame([], schema)
-    if file_pattern:
-        # A condition on file metadata drops files when the scan is planned.
-        text = text.where(F.col("_metadata.file_path").rlike(file_pattern))
     return typed(text, schema, null_tokens, rejects)
 
 
