@@ -224,7 +224,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "patient_scorecards": lambda s, d: clinical.patient_scorecards(_summary(s, d), _rates(s, d)),
     "patient_details": lambda s, d: clinical.patient_details(_summary(s, d), _rates(s, d)),
     "quality_report": quality_report,
-    "check_unique": lambda s, d: models.unique_tests(_tables(s, d)),
+    "check_unique": lambda s, d: models.unique_tests(_tables(s, d), strict_rate_key=True),
     "check_not_null": lambda s, d: models.not_null_tests(_tables(s, d)),
     "check_accepted_values": check_accepted_values,
     "unaccepted_values": lambda s, d: quality.unaccepted_values(

@@ -1,14 +1,16 @@
-"""Command line: run-day, backfill and check. Exits with 1 when a gate fails."""
+"""Command line over the plans. Exits with 1 when a quality gate fails."""
 
 import argparse
 import sys
 
 from studymart.operators.quality import QualityGateError, check_path
+from studymart.plans import models
 from studymart.plans.medallion import backfill, run_day
 from studymart.session import build_session
+from studymart.sources.tables import RAW_SCHEMAS, create_raw_tables, load_csv
 
 
-def main(argv: list[str] | None = None) -> int:
+def parse(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="studymart")
     commands = parser.add_subparsers(dest="command", required=True)
 
@@ -26,13 +28,32 @@ def main(argv: list[str] | None = None) -> int:
     check = commands.add_parser("check", help="check stored events")
     check.add_argument("--path", required=True)
 
-    args = parser.parse_args(argv)
+    load = commands.add_parser("load", help="append landed CSV files to a raw table")
+    load.add_argument("--database", required=True)
+    load.add_argument("--table", required=True, choices=sorted(RAW_SCHEMAS))
+    load.add_argument("--path", required=True)
+
+    build = commands.add_parser("models", help="build and test the marts from the raw tables")
+    build.add_argument("--raw-database", required=True)
+    build.add_argument("--database", required=True)
+    build.add_argument("--buckets", type=int)
+
+    return parser.parse_args(argv)
+
+
+def main(argv: list[str] | None = None) -> int:
+    args = parse(argv)
     spark = build_session(f"studymart-{args.command}")
     try:
         if args.command == "run-day":
             run_day(spark, args.base, args.date, args.missing_ok)
         elif args.command == "backfill":
             backfill(spark, args.base, args.start, args.end, args.missing_ok)
+        elif args.command == "load":
+            create_raw_tables(spark, args.database)
+            load_csv(spark, args.path, f"{args.database}.{args.table}", RAW_SCHEMAS[args.table])
+        elif args.command == "models":
+            models.run(spark, args.raw_database, args.database, args.buckets)
         elif not check_path(spark, args.path):
             print("quality check failed", file=sys.stderr)
             return 1

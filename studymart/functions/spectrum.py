@@ -48,13 +48,13 @@ def band_power_udf(sample_rate: float):
     def band_powers(samples: pa.Array) -> pa.Array:
         lists = samples.combine_chunks() if isinstance(samples, pa.ChunkedArray) else samples
         offsets = lists.offsets.to_numpy()
-        values = lists.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+        values = lists.values.to_numpy(zero_copy_only=False)
         lengths = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), 0)
         shares = np.full((len(lists), len(BAND_COLUMNS)), np.nan)
         for length in np.unique(lengths[lengths > 1]):
             for rows in _row_chunks(np.flatnonzero(lengths == length), int(length)):
                 signals = values[offsets[rows][:, None] + np.arange(length)]
-                shares[rows] = relative_power(signals, sample_rate)
+                shares[rows] = relative_power(signals.astype(np.float64), sample_rate)
         columns = [
             pa.array(shares[:, i], mask=~np.isfinite(shares[:, i])) for i in range(shares.shape[1])
         ]

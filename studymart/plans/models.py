@@ -10,7 +10,7 @@ from studymart.operators.staging import stg_events, stg_sleep_study
 from studymart.sources.tables import source
 
 STAGING_VIEWS = ("stg_sleep_study", "stg_events")
-MART_TABLES = ("fct_sleep_summary", "fct_event_rates", "dim_time")
+MART_FACTS = ("fct_sleep_summary", "fct_event_rates")
 
 
 def register_staging(spark: SparkSession, raw_database: str) -> None:
@@ -24,7 +24,7 @@ def register_staging(spark: SparkSession, raw_database: str) -> None:
 def _save(df: DataFrame, table: str, buckets: int | None) -> None:
     writer = df.write.mode("overwrite").format("parquet")
     if buckets:
-        # One file per bucket, rows of a study together: the clinical join needs no shuffle.
+        # One sorted file per bucket: the clinical join then needs neither shuffle nor sort.
         writer = (
             df.repartition(buckets, "study_id")
             .write.mode("overwrite")
@@ -38,8 +38,9 @@ def _save(df: DataFrame, table: str, buckets: int | None) -> None:
 def build_marts(spark: SparkSession, database: str, buckets: int | None = None) -> None:
     """Mart models are tables, rebuilt whole from the staging views.
 
-    With ``buckets`` both facts are bucketed by study, which pays when they are joined often
-    and no study dominates; without, adaptive execution plans each join.
+    With ``buckets`` both facts are bucketed by study, which pays when they are joined often.
+    It relies on the tested keys, one summary row per study and one rate row per study and
+    date, which keep the buckets even. Without, adaptive execution plans each join.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     _save(fct_sleep_summary(spark.table("stg_sleep_study")), f"{database}.fct_sleep_summary", buckets)
@@ -53,30 +54,13 @@ def clinical(spark: SparkSession, database: str) -> DataFrame:
     )
 
 
-def model_tests(
-    stg_studies: DataFrame,
-    stg_event_rows: DataFrame,
-    summary: DataFrame,
-    rates: DataFrame,
-    strict_rate_key: bool = False,
-) -> DataFrame:
-    """All declared column tests as one report.
+def unique_tests(tables: dict[str, DataFrame], strict_rate_key: bool = False) -> DataFrame:
+    """Key uniqueness of the given tables.
 
     The declared key of the rates is ``study_id`` alone, which a night over midnight breaks;
-    the default tests the real key (study_id, event_date). ``strict_rate_key`` tests both.
+    the test is on their real key (study_id, event_date). ``strict_rate_key`` adds the
+    declared one.
     """
-    tables = {
-        "stg_sleep_study": stg_studies,
-        "stg_events": stg_event_rows,
-        "fct_sleep_summary": summary,
-        "fct_event_rates": rates,
-    }
-    return quality.combine(
-        unique_tests(tables, strict_rate_key), not_null_tests(tables), accepted_value_tests(tables)
-    )
-
-
-def unique_tests(tables: dict[str, DataFrame], strict_rate_key: bool = True) -> DataFrame:
     keys = [
         ("stg_sleep_study", ["study_id"]),
         ("fct_sleep_summary", ["study_id"]),
@@ -85,7 +69,11 @@ def unique_tests(tables: dict[str, DataFrame], strict_rate_key: bool = True) ->
     if strict_rate_key:
         keys.append(("fct_event_rates", ["study_id"]))
     return quality.combine(
-        *[quality.unique_report(tables[t], columns, f"{t}.unique") for t, columns in keys]
+        *[
+            quality.unique_report(tables[name], columns, f"{name}.unique")
+            for name, columns in keys
+            if name in tables
+        ]
     )
 
 
@@ -103,15 +91,26 @@ def accepted_value_tests(tables: dict[str, DataFrame]) -> DataFrame:
     return quality.rule_report(tables["stg_events"], [rule])
 
 
+def staging_tests(spark: SparkSession) -> DataFrame:
+    tables = {name: spark.table(name) for name in STAGING_VIEWS}
+    return quality.combine(unique_tests(tables), not_null_tests(tables), accepted_value_tests(tables))
+
+
+def mart_tests(spark: SparkSession, database: str) -> DataFrame:
+    tables = {name: spark.table(f"{database}.{name}") for name in MART_FACTS}
+    return quality.combine(unique_tests(tables), not_null_tests(tables))
+
+
 def run(spark: SparkSession, raw_database: str, database: str, buckets: int | None = None) -> DataFrame:
-    """Build everything from the raw tables, stop on a failed test, return the test report."""
+    """Build everything from the raw tables and return the report of all model tests.
+
+    The staging views are tested before the marts replace their predecessors, and the marts
+    after; a failed test stops the run.
+    """
     register_staging(spark, raw_database)
+    staging = staging_tests(spark)
+    quality.require(staging)
     build_marts(spark, database, buckets)
-    report = model_tests(
-        spark.table("stg_sleep_study"),
-        spark.table("stg_events"),
-        spark.table(f"{database}.fct_sleep_summary"),
-        spark.table(f"{database}.fct_event_rates"),
-    )
-    quality.require(report)
-    return report
+    marts = mart_tests(spark, database)
+    quality.require(marts)
+    return quality.combine(staging, marts)

@@ -90,7 +90,12 @@ TEXTS = {
     "raw_events_tokens": RAW_EVENTS_TOKENS,
     "signal_epochs": SIGNAL_EPOCHS,
 }
-BASE_TABLES = ("customer", "events", "embeddings")
+# The columns used, declared so that no job has to look into a file for them.
+BASE_TABLES = {
+    "customer": "c_custkey long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+}
 
 
 def sql_text(name: str) -> str:
@@ -106,5 +111,9 @@ def sample_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     text = TEXTS[name]
     if "{raw_sleep_studies}" in text:
         text = text.replace("{raw_sleep_studies}", TEXTS["raw_sleep_studies"])
-    used = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in BASE_TABLES if f"{{{t}}}" in text}
+    used = {
+        table: spark.read.schema(columns).parquet(f"{folder}/{table}.parquet")
+        for table, columns in BASE_TABLES.items()
+        if f"{{{table}}}" in text
+    }
     return spark.sql(text, **used)

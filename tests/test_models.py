@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 
+from studymart.__main__ import main
 from studymart.contracts import EVENT_SCHEMA, STUDY_SCHEMA
 from studymart.operators.quality import QualityGateError
 from studymart.plans import models
@@ -74,12 +75,8 @@ def test_literal_rate_key_fails_on_a_night_over_midnight(spark, databases, base)
         out.write("8,apnea,2024-01-02T01:00:00.000Z,a\n")
     load(spark, base, raw)
     models.run(spark, raw, mart)
-    tables_by_name = {
-        "stg_sleep_study": spark.table("stg_sleep_study"),
-        "fct_sleep_summary": spark.table(f"{mart}.fct_sleep_summary"),
-        "fct_event_rates": spark.table(f"{mart}.fct_event_rates"),
-    }
-    report = models.unique_tests(tables_by_name, strict_rate_key=True)
+    rates = {"fct_event_rates": spark.table(f"{mart}.fct_event_rates")}
+    report = models.unique_tests(rates, strict_rate_key=True)
     got = {(r.rule, r.column_name): r.violations for r in report.collect()}
     assert got[("fct_event_rates.unique", "study_id, event_date")] == 0
     assert got[("fct_event_rates.unique", "study_id")] == 1
@@ -92,6 +89,18 @@ def test_failed_model_test_stops_the_run(spark, databases, base):
     load(spark, base, raw)
     with pytest.raises(QualityGateError, match="stg_sleep_study.unique"):
         models.run(spark, raw, mart)
+    assert not spark.catalog.databaseExists(mart)
+
+
+def test_command_line(spark, databases, base):
+    raw, mart = databases
+    for table in ("sleep_studies", "events"):
+        path = f"{base}/{'studies' if table == 'sleep_studies' else table}.csv"
+        assert main(["load", "--database", raw, "--table", table, "--path", path]) == 0
+    assert main(["models", "--raw-database", raw, "--database", mart]) == 0
+    assert spark.table(f"{mart}.fct_event_rates").count() == 1
+    assert main(["load", "--database", raw, "--table", "sleep_studies", "--path", f"{base}/studies.csv"]) == 0
+    assert main(["models", "--raw-database", raw, "--database", mart]) == 1
 
 
 def test_bucketed_facts_join_without_a_shuffle(spark, databases, base):
