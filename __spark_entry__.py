@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from studymart import contracts
 from studymart.operators import clinical, marts, quality, signals, staging
+from studymart.operators.skew import heavy_values
 from studymart.plans import medallion, models
 from studymart.session import materialise, scratch_path
 from studymart.sources import files
@@ -59,7 +60,9 @@ def _summary(spark, sf):
 
 
 def _joined(spark, sf):
-    return clinical.clinical_joined(_summary(spark, sf), _rates(spark, sf))
+    summary = _summary(spark, sf)
+    heavy = heavy_values(summary, "study_id")
+    return clinical.clinical_joined(summary, _rates(spark, sf), heavy=heavy)
 
 
 def _cells(spark, sf):

@@ -11,7 +11,7 @@ Cohort figures are means and counts over `clinical_joined`. They never build its
 many joined rows a cell stands for.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from studymart.contracts import AHI_TOP_CLASS
 from studymart.functions import ahi, ahi_severity, ratio, zero_if_null
+from studymart.operators.skew import salted_left_join
 
 COUNTS = ("total_events", "apnea_count", "hypopnea_count", "arousal_count")
 SUMMARY_COLUMNS = (
@@ -43,15 +44,32 @@ def _with_index(df: DataFrame, unknown_label: str) -> DataFrame:
 
 
 def clinical_joined(
-    summary: DataFrame, rates: DataFrame, unknown_label: str = AHI_TOP_CLASS
+    summary: DataFrame,
+    rates: DataFrame,
+    unknown_label: str = AHI_TOP_CLASS,
+    heavy: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Studies with their event rates by date; studies without events keep zero counts.
 
     No hint: adaptive execution broadcasts the rates when their measured size allows it and
-    otherwise splits an oversized partition of the study side. The rates side holds at
-    most one row per study and date, so it is never the heavy one for a key.
+    otherwise splits an oversized partition of the study side. What it cannot see is a study
+    id whose rows fit a partition but multiply in the join. Give such ids with their row
+    counts as ``heavy``, as `studymart.operators.skew.heavy_values` finds them, and they are
+    joined in parts of their own. The rows are the same either way.
     """
-    joined = summary.select(*SUMMARY_COLUMNS).join(rates, "study_id", "left")
+    studies = summary.select(*SUMMARY_COLUMNS)
+    if heavy:
+        alone = F.col("study_id").isin(*heavy)
+        rest = ~alone | F.col("study_id").isNull()
+        joined = (
+            studies.where(rest)
+            .join(rates.where(rest), "study_id", "left")
+            .unionByName(
+                salted_left_join(studies.where(alone), rates.where(alone), "study_id", heavy)
+            )
+        )
+    else:
+        joined = studies.join(rates, "study_id", "left")
     return _with_index(
         joined.select(
             *SUMMARY_COLUMNS,

@@ -49,6 +49,7 @@ def build_marts(spark: SparkSession, database: str, buckets: int | None = None)
 
 
 def clinical(spark: SparkSession, database: str) -> DataFrame:
+    """The clinical frame over the mart tables; their tested keys leave no heavy study."""
     return clinical_joined(
         spark.table(f"{database}.fct_sleep_summary"), spark.table(f"{database}.fct_event_rates")
     )

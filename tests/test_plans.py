@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from conftest import DATA
 from studymart.contracts import STUDY_SCHEMA
-from studymart.operators import clinical, marts
+from studymart.operators import clinical, marts, skew
+from studymart.operators.skew import heavy_values
 from studymart.session import scratch_path
 
 SIGNAL_QUERIES = {"band_power", "signal_analytics", "spectral_long", "spectral_share", "hypnogram"}
@@ -114,5 +115,38 @@ def test_heavy_study_is_split_in_the_clinical_join(spark, no_broadcast):
             spark.conf.unset(key)
 
 
+def test_heavy_study_is_joined_in_parts(spark, no_broadcast):
+    """A few kilobytes of study rows that multiply by 300 dates must not end in one task."""
+    copies = spark.range(0, 3_000, 1, 4).selectExpr("'hot' AS study_id", "0 AS n")
+    nights = spark.range(0, 6_000, 1, 4).selectExpr("if(id % 3 = 0, concat('s', id), 'hot') AS study_id", "id AS n")
+    summary = copies.union(nights).selectExpr(
+        "study_id", "date'2024-01-01' AS study_date", "60.0D + n AS total_sleep_time_min", "1.0D AS rem_percentage",
+        "if(n % 2 = 0, NULL, 1.0D) AS deep_min", "1.0D AS light_min", "'71+' AS age_group", "'F' AS sex",
+    )
+    events = spark.range(0, 300).selectExpr(
+        "explode(array('hot', concat('s', id))) AS study_id", "'apnea' AS event_type", "1.0D AS duration_sec",
+        "date_add(date'2024-01-01', cast(id AS int)) AS event_date",
+    )
+    rates = marts.fct_event_rates(events)
+    heavy = heavy_values(summary, "study_id", min_rows=1_000)
+    assert heavy == {"hot": 7_000}
+    joined = clinical.clinical_joined(summary, rates, heavy=heavy)
+    plain = clinical.clinical_joined(summary, rates)
+    assert joined.columns == plain.columns
+    assert joined.count() == plain.count() == 7_000 * 300 + 2_000
+    digest = "bit_xor(xxhash64(struct(*)))", "sum(pmod(xxhash64(struct(*)), 1000003))"
+    assert joined.selectExpr(*digest).first() == plain.selectExpr(*digest).first()
+    spread = joined.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert spread.max() < 0.6 * spread.sum()
+
+
+def test_copies_come_apart_again(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_PIECE", 3)
+    left = spark.createDataFrame([("a", 1)] * 7 + [("a", 2), ("b", 1), ("b", None), ("b", None)], "k string, v int")
+    right = spark.createDataFrame([("a", 10), ("a", 20)], "k string, w int")
+    got = skew.salted_left_join(left, right, "k", {"a": 8, "b": 3})
+    assert sorted(got.collect(), key=str) == sorted(left.join(right, "k", "left").collect(), key=str)
+
+
 def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
