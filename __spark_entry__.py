@@ -7,7 +7,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from studymart import contracts
 from studymart.operators import clinical, marts, quality, signals, staging
@@ -32,12 +31,7 @@ DAYS = (date(2024, 1, 10), date(2024, 1, 19))
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six places; engines differ in the order they add up means."""
-    return df.select(
-        *[
-            F.round(f.name, 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    return clinical.display(df, 6)
 
 
 # --- Inputs -------------------------------------------------------------------
@@ -215,6 +209,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cohort_values": cohort_values,
     "cohort_filter": lambda s, d: clinical.cohort_filter(_joined(s, d), **COHORT),
     "cohort_overview": lambda s, d: clinical.cohort_overview(_cells(s, d)),
+    "cohort_overview_display": lambda s, d: clinical.display(clinical.cohort_overview(_cells(s, d))),
     "cohort_overview_filtered": filtered_overview,
     "cohort_overview_by_study": lambda s, d: clinical.cohort_overview(
         clinical.unit_cells(clinical.clinical_by_study(_summary(s, d), _rates(s, d)))
@@ -457,6 +452,9 @@ def _model_sql() -> dict[str, str]:
             UNION ALL SELECT DISTINCT 'study_id', study_id FROM joined
             UNION ALL SELECT DISTINCT 'subject_id', subject_id FROM ({sql_text("signal_epochs")})""",
         "cohort_overview": _OVERVIEW + "joined",
+        "cohort_overview_display": f"""
+            SELECT total_studies, round(avg_ahi, 1) AS avg_ahi, round(severe_pct, 1) AS severe_pct,
+                   round(avg_sleep_hours, 1) AS avg_sleep_hours FROM ({_OVERVIEW} joined)""",
         "cohort_overview_filtered": _OVERVIEW + "joined" + _COHORT_WHERE,
         "cohort_overview_by_study": _OVERVIEW + "by_study",
         "sleep_architecture": """

@@ -16,6 +16,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from studymart.contracts import AHI_TOP_CLASS
 from studymart.functions import ahi, ahi_severity, ratio, zero_if_null
@@ -314,3 +315,13 @@ def patient_details(summary: DataFrame, rates: DataFrame) -> DataFrame:
         "arousal_count",
         ratio(F.col("total_sleep_time_min"), F.lit(60)).alias("sleep_hours"),
     )
+
+
+def display(df: DataFrame, decimals: int = 1) -> DataFrame:
+    """The frame with its doubles rounded, as figures are shown."""
+    return df.select(
+        *[
+            F.round(f.name, decimals).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
