@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from studymart.contracts import REPORT_SCHEMA, STAGE_SUM_BUFFER_MIN
+from studymart.sources.files import MissingInput, scan_any
 
 
 @dataclass(frozen=True)
@@ -127,11 +128,16 @@ class QualityGateError(RuntimeError):
         super().__init__(f"quality rules broken: {lines}")
 
 
-def require(report: DataFrame) -> None:
-    """Stop unless the report is clean. Only its few rows, one per rule, reach the driver."""
-    failures = [tuple(r) for r in report.where(F.col("violations") > 0).collect()]
+def require(report: DataFrame) -> DataFrame:
+    """Stop unless the report is clean; return it with its figures settled.
+
+    The report runs once, and only its few rows, one per rule, reach the driver.
+    """
+    lines = [tuple(r) for r in report.collect()]
+    failures = [line for line in lines if line[2] > 0]
     if failures:
         raise QualityGateError(failures)
+    return report.sparkSession.createDataFrame(lines, REPORT_SCHEMA)
 
 
 def require_counts(rules: Sequence[RowRule], counts: dict) -> None:
@@ -144,8 +150,6 @@ def require_counts(rules: Sequence[RowRule], counts: dict) -> None:
 
 def check_path(spark: SparkSession, path: str) -> bool:
     """Whether the events stored at a path (Parquet, or CSV as landed) satisfy the event rules."""
-    from studymart.sources.files import MissingInput, scan_any
-
     try:
         events = scan_any(spark, path)
     except MissingInput:

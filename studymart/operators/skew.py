@@ -27,7 +27,7 @@ def heavy_values(
     most = math.ceil(1 / share)
     found = df.agg(
         F.count("*").alias("total"),
-        F.expr(f"approx_top_k({column}, {most}, {TRACKED_ITEMS})").alias("items"),
+        F.expr(f"approx_top_k(`{column}`, {most}, {TRACKED_ITEMS})").alias("items"),
     ).first()
     needed = max(found.total * share, min_rows)
     return {

@@ -109,9 +109,7 @@ def run(spark: SparkSession, raw_database: str, database: str, buckets: int | No
     after; a failed test stops the run.
     """
     register_staging(spark, raw_database)
-    staging = staging_tests(spark)
-    quality.require(staging)
+    staging = quality.require(staging_tests(spark))
     build_marts(spark, database, buckets)
-    marts = mart_tests(spark, database)
-    quality.require(marts)
+    marts = quality.require(mart_tests(spark, database))
     return quality.combine(staging, marts)

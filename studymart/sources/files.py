@@ -1,5 +1,6 @@
 """Typed scans of landed files, and day-partitioned reads and writes."""
 
+import re
 from collections.abc import Iterable, Sequence
 from datetime import date
 
@@ -12,6 +13,7 @@ from studymart.contracts import DAY, EVENT_SCHEMA, NULL_TOKENS, landing_columns
 from studymart.functions import null_if_token
 
 CORRUPT = "_corrupt_record"
+DAY_FOLDER = re.compile(DAY + r"=(\d{4}-\d{2}-\d{2})")
 LANDED_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -47,9 +49,8 @@ def landed_days(spark: SparkSession, root: str, start: date, end: date) -> list[
     target, files = _hadoop_path(spark, root)
     if not files.exists(target):
         return []
-    prefix = f"{DAY}="
     names = [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
-    days = [date.fromisoformat(n[len(prefix) :]) for n in names if n.startswith(prefix)]
+    days = [date.fromisoformat(m[1]) for n in names if (m := DAY_FOLDER.fullmatch(n))]
     return sorted(d for d in days if start <= d <= end)
 
 

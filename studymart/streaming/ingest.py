@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from studymart.contracts import NULL_TOKENS, as_text, landing_columns
-from studymart.sources.files import typed
+from studymart.sources.files import CORRUPT, typed
 
 BATCH = "load_id"  # partition column of the loaded table
 
@@ -18,6 +18,7 @@ def ingest_once(
     glob: str | None = None,
     files_per_batch: int | None = None,
     purge: bool = False,
+    rejects: str | None = None,
 ) -> None:
     """Load the CSV files under ``source`` that earlier calls have not loaded, then stop.
 
@@ -25,10 +26,14 @@ def ingest_once(
     target, so a batch that is run again after a failure replaces its rows instead of
     adding to them. ``files_per_batch`` bounds a batch when the backlog is long; ``purge``
     deletes source files once their batch is done. Files must carry the landing header.
+    With ``rejects`` every row lists its unreadable columns, as in `typed`.
     """
     text = as_text(T.StructType([schema[c] for c in landing_columns(schema)]))
+    if rejects:
+        text = text.add(CORRUPT, T.StringType())
     reader = spark.readStream.schema(text).option("header", True).option("escape", '"')
-    reader = reader.option("enforceSchema", False).option("recursiveFileLookup", True)
+    reader = reader.option("enforceSchema", False).option("columnPruning", False)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
@@ -37,7 +42,7 @@ def ingest_once(
         reader = reader.option("cleanSource", "delete")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = typed(batch, schema, NULL_TOKENS)
+        rows = typed(batch, schema, NULL_TOKENS, rejects)
         rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
 
     query = (
@@ -50,6 +55,10 @@ def ingest_once(
     query.awaitTermination()
 
 
-def loaded(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+def loaded(
+    spark: SparkSession, target: str, schema: T.StructType, rejects: str | None = None
+) -> DataFrame:
     """The rows loaded so far."""
+    if rejects:
+        schema = T.StructType([*schema.fields, T.StructField(rejects, T.ArrayType(T.StringType()))])
     return spark.read.schema(schema).option("basePath", target).parquet(f"{target}/{BATCH}=*")

@@ -2,6 +2,7 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from studymart.contracts import EVENT_SCHEMA, STUDY_SCHEMA, as_text
 from studymart.operators.staging import bronze_to_silver
@@ -136,6 +137,13 @@ def test_days_are_pruned(spark, silver, base):
         files.read_days(spark, base, date(2025, 1, 1), date(2025, 1, 2))
 
 
+def test_rows_without_a_day_do_not_hide_the_others(spark, silver, base):
+    undated = silver.limit(1).withColumn("dt", F.lit(None).cast("date"))
+    files.write_days(silver.unionByName(undated), base)
+    assert len(files.landed_days(spark, base, date.min, date.max)) == 3
+    assert spark.read.parquet(base).count() == 31
+
+
 def test_a_heavy_day_is_written_as_several_files(spark, base):
     heavy = spark.range(0, 200_000, 1, 8).selectExpr(
         "id", "sha2(cast(id as string), 512) as filler", "date'2024-01-01' as dt"

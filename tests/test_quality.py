@@ -70,7 +70,8 @@ def test_stage_sum_buffer(frame):
 
 
 def test_gate(frame):
-    quality.require(quality.rule_report(frame([("1", 1)], EVENTS), quality.EVENT_RULES))
+    settled = quality.require(quality.rule_report(frame([("1", 1)], EVENTS), quality.EVENT_RULES))
+    assert report(settled) == {("not_null", "study_id"): 0, ("positive", "duration_sec"): 0}
     with pytest.raises(quality.QualityGateError) as error:
         quality.require(quality.rule_report(frame([("1", -1)], EVENTS), quality.EVENT_RULES))
     assert error.value.failures == [("positive", "duration_sec", 1)]

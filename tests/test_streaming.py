@@ -15,7 +15,7 @@ def land(base, day, name, *ids):
 
 def ingest(spark, base, **options):
     ingest_once(spark, f"{base}/landed", f"{base}/events", f"{base}/checkpoint", EVENT_SCHEMA, **options)
-    return sorted(r.study_id for r in loaded(spark, f"{base}/events", EVENT_SCHEMA).collect())
+    return sorted(str(r.study_id) for r in loaded(spark, f"{base}/events", EVENT_SCHEMA).collect())
 
 
 def test_each_file_is_loaded_once(spark, base):
@@ -48,3 +48,12 @@ def test_glob_and_purge(spark, base):
         time.sleep(0.1)
     assert not first.exists()
     assert Path(base, "landed", "dt=2024-01-01", "notes-1.csv").exists()
+
+
+def test_bad_lines_are_kept_in_sight(spark, base):
+    land(base, "2024-01-01", "a.csv", "1")
+    with open(Path(base, "landed", "dt=2024-01-01", "a.csv"), "a") as out:
+        out.write("abc,apnea,2024-01-01 22:00:00,2\n3,apnea\n")
+    ingest(spark, base, rejects="rejected")
+    got = loaded(spark, f"{base}/events", EVENT_SCHEMA, "rejected").collect()
+    assert sorted(r.rejected for r in got) == [[], ["_corrupt_record"], ["duration_sec"]]
