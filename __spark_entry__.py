@@ -464,7 +464,7 @@ def _model_sql() -> dict[str, str]:
                 UNION ALL SELECT 'Light', avg(light_min) / avg(total_sleep_time_min) * 100, avg(total_sleep_time_min) FROM joined
             ) WHERE t > 0""",
         "severity_distribution": "SELECT ahi_severity, count(*) AS studies FROM joined GROUP BY ahi_severity",
-        "ahi_by_age": "SELECT age_group, round(avg(ahi), 6) AS avg_ahi FROM joined GROUP BY age_group",
+        "ahi_by_age": "SELECT age_group, round(avg(ahi), 6) AS avg_ahi FROM joined WHERE age_group IS NOT NULL GROUP BY age_group",
         "ahi_vs_duration": "SELECT total_sleep_time_min, round(ahi, 6) AS ahi, age_group, arousal_count FROM joined",
         "patient_details": f"""
             SELECT study_id, {index}, total_events, arousal_count,

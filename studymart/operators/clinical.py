@@ -226,7 +226,9 @@ def severity_distribution(cells: DataFrame) -> DataFrame:
 
 
 def ahi_by_age(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("age_group").agg(_weighted_mean("ahi").alias("avg_ahi"))
+    """Mean index per age group; studies without an age group belong to none."""
+    known = cells.where(F.col("age_group").isNotNull())
+    return known.groupBy("age_group").agg(_weighted_mean("ahi").alias("avg_ahi"))
 
 
 def ahi_vs_duration(clinical: DataFrame) -> DataFrame:
