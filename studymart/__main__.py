@@ -22,7 +22,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     span.add_argument("--end", required=True)
 
     for command in (day, span):
-        command.add_argument("--base", required=True, help="base URI of the raw, silver and gold folders")
+        command.add_argument("--base", required=True, help="URI above the raw, silver and gold folders")
         command.add_argument("--missing-ok", action="store_true")
 
     check = commands.add_parser("check", help="check stored events")

@@ -266,7 +266,11 @@ def _scorecard(df: DataFrame, cohort: DataFrame, keys: Sequence[str]) -> DataFra
             _measure_mean("deep").alias("deep"),
         ).alias("averages")
     )
-    lines = [("AHI", "ahi", "ahi"), ("REM %", "rem_percentage", "rem"), ("Deep Sleep (min)", "deep_min", "deep")]
+    lines = [
+        ("AHI", "ahi", "ahi"),
+        ("REM %", "rem_percentage", "rem"),
+        ("Deep Sleep (min)", "deep_min", "deep"),
+    ]
     rows = F.array(
         *[
             F.struct(
@@ -321,9 +325,5 @@ def patient_details(summary: DataFrame, rates: DataFrame) -> DataFrame:
 
 def display(df: DataFrame, decimals: int = 1) -> DataFrame:
     """The frame with its doubles rounded, as figures are shown."""
-    return df.select(
-        *[
-            F.round(f.name, decimals).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
+    return df.withColumns({name: F.round(name, decimals) for name in doubles})

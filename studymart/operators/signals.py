@@ -1,5 +1,8 @@
 """Spectral features of signal epochs and the figures derived from them."""
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +46,7 @@ def spectral_share(analytics: DataFrame) -> DataFrame:
     ``analytics`` has one row per subject and stage with all bands side by side, so the
     total is taken along the row, before melting; no window, hence no second shuffle.
     """
-    total = sum((zero_if_null(F.col(c)) for c in AVERAGE_COLUMNS[1:]), zero_if_null(F.col(AVERAGE_COLUMNS[0])))
+    total = reduce(add, [zero_if_null(F.col(c)) for c in AVERAGE_COLUMNS])
     bands = F.array(
         *[
             F.struct(

@@ -74,7 +74,7 @@ def typed(
     types = {f.name: f.dataType for f in schema.fields}
     extra = [c for c in raw.columns if c not in types and c != CORRUPT]
     texts = {
-        c: null_if_token(F.col(c).cast("string"), tokens) if c in raw.columns else F.lit(None).cast("string")
+        c: null_if_token((F.col(c) if c in raw.columns else F.lit(None)).cast("string"), tokens)
         for c in types
     }
     columns: list[Column] = [texts[c].try_cast(t).alias(c) for c, t in types.items()]
