@@ -15,6 +15,12 @@ from studymart.sources import files
 from studymart.sources.sample_views import SIGNAL_RATE_HZ, sample_view, sql_text
 from studymart.streaming.ingest import ingest_once, loaded
 
+try:  # the corpus operators are an optional part
+    from studymart.llm.queries import ORACLES as CORPUS_SQL
+    from studymart.llm.queries import QUERIES as CORPUS_QUERIES
+except ImportError:
+    CORPUS_QUERIES, CORPUS_SQL = {}, {}
+
 # Demonstration arguments of the queries that take any.
 COHORT = {
     "start": "2024-01-05",
@@ -255,7 +261,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def finished(build):
         return lambda spark, sf_dir: rounded(build(spark, sf_dir))
 
-    return {name: finished(build) for name, build in _QUERIES.items()}
+    return {name: finished(build) for name, build in _QUERIES.items()} | CORPUS_QUERIES
 
 
 # --- DuckDB counterparts --------------------------------------------------------
@@ -586,4 +592,4 @@ def _check_sql() -> dict[str, str]:
 
 def oracle_sql() -> dict[str, str]:
     """For each registered query the SQL that DuckDB runs on the same tables."""
-    return {**_model_sql(), **_signal_sql(), **_check_sql()}
+    return {**_model_sql(), **_signal_sql(), **_check_sql(), **CORPUS_SQL}

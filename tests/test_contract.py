@@ -12,11 +12,14 @@ def connection():
     return duck(DATA)
 
 
+OWN = sorted(set(contract.queries()) - set(contract.CORPUS_QUERIES))
+
+
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(OWN) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, connection, name):
     ours, theirs = compare(spark, connection, DATA, name)
     assert ours == theirs
