@@ -3,13 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studymart.llm import packing, token_counts, topk
+from studymart.llm import chat, decontamination, packing, token_counts, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark, sf_dir):
+    """Documents and the benchmark items they hold."""
+    return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_packing(spark, sf_dir):
     """Pieces of all documents in sequences of at most 2048 tokens."""
     pieces = packing.pack(table(spark, sf_dir, "documents"))
@@ -18,6 +23,29 @@ def op2_packing(spark, sf_dir):
     )
 
 
+#: A conversation whose texts look like control strings.
+_CONTROL_CASE = """
+    SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+    AS t(conv_id, turn, role, text)"""
+
+
+def op3_chat(spark, sf_dir):
+    """Digests of all conversations and of the control case, read back from their formatted strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    log = chat.turn_events(rows.unionByName(spark.sql(_CONTROL_CASE)))
+    back = chat.read_back(chat.render(chat.final_messages(log)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("turns.loss_text", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op4_topk(spark, sf_dir):
     """The 20 best vectors for every vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -30,13 +58,47 @@ def op5_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op3_chat": op3_chat,
     "op4_topk": op4_topk,
     "op5_token_counts": op5_token_counts,
 }
 
 #: DuckDB text for the queries that SQL can express.
 ORACLES = {
+    "op1_decontamination": """
+        WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+                   FROM documents),
+        b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+              FROM benchmark),
+        ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+               FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+               FROM b, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+        m AS (SELECT doc_id, item_id, count(*) AS n_matched FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, n_shingles, n_matched, n_matched / n_shingles AS containment
+        FROM m JOIN n USING (item_id) WHERE n_matched >= ceil(n_shingles * 0.8 - 1e-9)""",
+    "op3_chat": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k
+            FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES
+                  (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+        e AS (
+            SELECT *, regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\2\\\3', 'g') AS shown,
+                   regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\2\\\3', 'g') AS actor
+            FROM c),
+        g AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY k) AS turns,
+                   coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '') AS loss,
+                   sum(length(actor) + length(shown) + 16
+                       + CASE WHEN role = 'assistant' THEN 4 ELSE 13 END)::BIGINT AS formatted_chars
+            FROM e GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+               sha256(loss) AS loss_sha256, formatted_chars FROM g""",
     "op4_topk": """
         WITH q AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
