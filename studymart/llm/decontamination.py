@@ -46,7 +46,8 @@ def bounded(side: DataFrame) -> DataFrame:
 
 def sketches(items: DataFrame, n: int, containment: float) -> DataFrame:
     """(hash, item_id, least): the hashes that give an item away, and the shingles a holder has at least."""
-    hashes = items.select("item_id", F.explode(F.array_distinct(shingle_hashes(F.col("words"), n))).alias("hash"))
+    hashes = items.select("item_id", F.explode_outer(F.array_distinct(shingle_hashes(F.col("words"), n))).alias("hash"))
+    hashes = hashes.filter(F.col("hash").isNotNull())
     by_item = Window.partitionBy("item_id")
     ranked = hashes.distinct().select(
         "item_id",
@@ -83,8 +84,11 @@ def contained_items(
     sketch = materialise(sketches(named, n, containment), "item_sketches")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))
 
-    hashes = texts.select("doc_id", shingle_hashes(words(F.col("text")), n).alias("hashes"))
-    probes = hashes.select("doc_id", F.size("hashes").alias("n_hashes"), F.explode("hashes").alias("hash"))
+    # The words are a column of their own: inside a lambda they would be cut again for every shingle.
+    cut = texts.select("doc_id", words(F.col("text")).alias("words"))
+    hashes = cut.select("doc_id", shingle_hashes(F.col("words"), n).alias("hashes"))
+    # Outer, as the optimizer would otherwise test every array for being empty, on a copy of the lambda.
+    probes = hashes.select("doc_id", F.size("hashes").alias("n_hashes"), F.explode_outer("hashes").alias("hash"))
     found = probes.join(bounded(sketch), "hash").filter(F.col("n_hashes") >= F.col("least"))
     pairs = found.select("doc_id", "item_id").distinct()
     candidates = materialise(pairs.groupBy("doc_id").agg(F.collect_set(F.struct("item_id")).alias("items")), "item_candidates")
@@ -94,7 +98,8 @@ def contained_items(
     item_shingles = materialise(item_shingles, "item_shingles")
     wanted = candidates.withColumnRenamed("doc_id", "id")
     held = texts.join(bounded(wanted), F.col("doc_id").eqNullSafe(F.col("id")))
-    held = held.select("doc_id", "items", F.array_distinct(shingles(words(F.col("text")), n)).alias("doc_shingles"))
+    held = held.select("doc_id", "items", words(F.col("text")).alias("words"))
+    held = held.select("doc_id", "items", F.array_distinct(shingles(F.col("words"), n)).alias("doc_shingles"))
     one = held.select("doc_id", "doc_shingles", F.explode("items.item_id").alias("wanted"))
     compared = one.join(bounded(item_shingles), F.col("wanted").eqNullSafe(F.col("item_id")))
     counted = compared.select(
