@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studymart.llm import chat, decontamination, packing, token_counts, topk
+from studymart.llm import chat, decontamination, packing, token_counts, topk, warc
+from studymart.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,12 +58,21 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark, sf_dir):
+    """All pages, written to archives and read back."""
+    folder = scratch_path(spark, "warc")
+    warc.archive(table(spark, sf_dir, "pages"), folder)
+    records = warc.read_archives(spark, folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_chat": op3_chat,
     "op4_topk": op4_topk,
     "op5_token_counts": op5_token_counts,
+    "op8_warc": op8_warc,
 }
 
 #: DuckDB text for the queries that SQL can express.
@@ -110,4 +120,12 @@ ORACLES = {
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
                vec_id, score
         FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+    "op8_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+        f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+              FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to FROM f""",
 }
