@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studymart.llm import chat, decontamination, packing, token_counts, topk, warc
+from studymart.llm import chat, decontamination, packing, quality, simhash, token_counts, topk, warc
 from studymart.session import scratch_path
 
 
@@ -58,6 +58,18 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark, sf_dir):
+    """Fingerprint and group of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op7_quality(spark, sf_dir):
+    """Evidence, site posteriors and verdict for all documents."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark, sf_dir):
     """All pages, written to archives and read back."""
     folder = scratch_path(spark, "warc")
@@ -72,6 +84,8 @@ QUERIES = {
     "op3_chat": op3_chat,
     "op4_topk": op4_topk,
     "op5_token_counts": op5_token_counts,
+    "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_warc": op8_warc,
 }
 
