@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studymart.llm import chat, decontamination, packing, quality, simhash, token_counts, topk, warc
+from studymart.llm import chat, decontamination, packing, quality, simhash, suffix, token_counts, topk, warc
 from studymart.session import scratch_path
 
 
@@ -78,6 +78,19 @@ def op8_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_suffix(spark, sf_dir):
+    """What all documents lose to 100-byte strings that start earlier."""
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -87,6 +100,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
+    "op10_suffix": op10_suffix,
 }
 
 #: DuckDB text for the queries that SQL can express.
