@@ -16,8 +16,11 @@ from studymart.sources.sample_views import SIGNAL_RATE_HZ, sample_view, sql_text
 from studymart.streaming.ingest import ingest_once, loaded
 
 try:  # the corpus operators are an optional part
+    import corpus_pipeline
     from studymart.llm.queries import ORACLES as CORPUS_SQL
     from studymart.llm.queries import QUERIES as CORPUS_QUERIES
+
+    CORPUS_QUERIES = {**CORPUS_QUERIES, "pipeline": corpus_pipeline.run}
 except ImportError:
     CORPUS_QUERIES, CORPUS_SQL = {}, {}
 
