@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studymart.llm import chat, decontamination, packing, quality, simhash, suffix, token_counts, topk, warc
+from studymart.llm import chat, decontamination, packing, quality, simhash, suffix, token_counts, topk, toxicity, warc
 from studymart.session import scratch_path
 
 
@@ -78,6 +78,14 @@ def op8_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_toxicity(spark, sf_dir):
+    """Toxicity of all documents, learned from the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "n_windows", "n_near")
+
+
 def op10_suffix(spark, sf_dir):
     """What all documents lose to 100-byte strings that start earlier."""
     cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
@@ -100,6 +108,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
+    "op9_toxicity": op9_toxicity,
     "op10_suffix": op10_suffix,
 }
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from studymart.session import materialise
 
@@ -99,9 +100,13 @@ _PLACE = "doc long, copy int"
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, doc, copy, data): doc orders the ids, nulls first; copy tells rows of one id apart."""
+    """(doc_id, rest, doc, copy, data): doc orders the ids, nulls first; copy tells rows of one id apart.
+
+    ``rest`` holds the columns that aren't the text.
+    """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("rest"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("doc"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"),
     )
@@ -347,40 +352,56 @@ def _spans(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, copy, n_bytes, spans, kept): what each document loses to strings that start earlier.
-
-    Texts are UTF-8 bytes, null is empty. ``spans`` are the maximal removed runs (start, length),
-    ``kept`` the other bytes. Places are ordered by id, nulls first, then by byte; rows that repeat
-    an id are ordered by their bytes and numbered by ``copy``, each with its own result. Texts
-    shorter than WINDOW bytes lose nothing. An empty table gives no rows. Equal segments are told by
-    128 bits of hash, everything else by its bytes.
-    """
+def _cut(docs: DataFrame, id_col: str, text_col: str, kept_type: str) -> DataFrame:
     rows = _numbered(docs, id_col, text_col)
     runs = materialise(repeated_windows(rows), "repeated_windows")
     mine = runs.groupBy(F.col("doc").alias("d"), F.col("copy").alias("c")).agg(F.collect_list(F.struct("start", "n")).alias("list"))
     held = rows.join(mine, (rows["doc"] == mine["d"]) & (rows["copy"] == mine["c"]), "left")
-    held = held.select("doc_id", "copy", "data", "list")
+    held = held.select("doc_id", "copy", "rest", "data", "list")
+    names = ["doc_id", "copy", "rest", "n_bytes", "spans", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.struct([("start", pa.int64()), ("length", pa.int64())])
         for batch in batches:
             size, cut, kept = [], [], []
-            for data, found in zip(batch.column(2), batch.column(3)):
+            for data, found in zip(batch.column(3), batch.column(4)):
                 data, found = data.as_py(), found.as_py()
                 spans = _spans([(x["start"], x["n"]) for x in found]) if found else []
                 at, parts = 0, []
                 for start, length in spans:
                     parts.append(data[at:start])
                     at = start + length
+                whole = b"".join([*parts, data[at:]])
                 size.append(len(data))
                 cut.append([{"start": a, "length": n} for a, n in spans])
-                kept.append(b"".join([*parts, data[at:]]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(cut, pa.list_(pair)), pa.array(kept, pa.binary())],
-                ["doc_id", "copy", "n_bytes", "spans", "kept"],
-            )
-
-    return held.mapInArrow(
-        run, "doc_id long, copy int, n_bytes long, spans array<struct<start: long, length: long>>, kept binary"
-    )
+                kept.append(whole if kept_type == "binary" else whole.decode("utf-8", "ignore"))
+            kinds = (pa.int64(), pa.list_(pair), pa.binary() if kept_type == "binary" else pa.string())
+            rest = [pa.array(c, k) for c, k in zip((size, cut, kept), kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *rest], names)
+
+    schema = held.select("doc_id", "copy", "rest").schema
+    pair = T.StructType().add("start", T.LongType()).add("length", T.LongType())
+    schema = schema.add("n_bytes", T.LongType()).add("spans", T.ArrayType(pair)).add("kept", kept_type)
+    return held.mapInArrow(run, schema)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, copy, n_bytes, spans, kept): what each document loses to strings that start earlier.
+
+    Texts are UTF-8 bytes, null is empty. ``spans`` are the maximal removed runs (start, length),
+    ``kept`` the other bytes. Places are ordered by id, nulls first, then by byte; rows that repeat
+    an id are ordered by their bytes and numbered by ``copy``, each with its own result. Texts
+    shorter than WINDOW bytes lose nothing. An empty table gives no rows. Equal segments are told by
+    128 bits of hash, everything else by its bytes.
+    """
+    chosen = docs.select(F.col(id_col), F.col(text_col))
+    return _cut(chosen, id_col, text_col, "binary").drop("rest")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with what ``remove_repeats`` keeps of their texts; other columns as they are.
+
+    Null texts become empty. A character of which only a part is kept is dropped.
+    """
+    cut = _cut(docs, id_col, text_col, "string")
+    return cut.select(*((F.col("kept") if c == text_col else F.col("rest")[c]).alias(c) for c in docs.columns))
