@@ -4,11 +4,12 @@ Strings of WINDOW bytes are dealt out by content: each belongs to the anchor, th
 the short strings within it, so equal ones meet. Consecutive strings of one anchor form a segment.
 Anchors that occur once are dropped before any text moves, and equal segments are folded into their
 first place. What is left, different segments of one anchor, is compared in buckets of bounded size:
-the bucket's shards are turned into Burrows-Wheeler transforms, and these are merged by refining
+pieces that may share a window stay, the bucket's shards are turned into Burrows-Wheeler transforms, and these are merged by refining
 their interleave character by character. Rows that stay in one block down to WINDOW characters are
 equal strings; a block's first place is kept.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +28,10 @@ ANCHOR = 24
 CHUNK = 1 << 20
 #: Bytes of a bucket and of a shard within it.
 BUCKET_BYTES, SHARD_BYTES = 1 << 20, 1 << 18
-#: An anchor with more different segments is dealt out by single windows instead.
-CROWDED = 2000
-#: Distinct windows of crowded anchors that a task folds before it passes them on.
+#: An anchor with more different segments is dealt out by both its sides, and a group of more pieces
+#: than LARGE_GROUP by single windows.
+CROWDED, LARGE_GROUP = 200, 10_000
+#: Distinct windows of large groups that a task folds before it passes them on.
 FOLDED_WINDOWS = 100_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -72,9 +74,12 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(int(_ODD), n, 1 << 64))
 
 
-def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, number of windows, anchor hash) of the segments of a text; together all its windows."""
-    starts, sizes, anchors = [], [], []
+def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, number of windows, anchor hash, anchor's offset) of the segments of a text.
+
+    Together they have all its windows.
+    """
+    starts, sizes, anchors, offsets = [], [], [], []
     total, span = len(data) - WINDOW + 1, WINDOW - ANCHOR + 1
     for base in range(0, max(total, 0), CHUNK):
         count = min(CHUNK, total - base)
@@ -91,9 +96,10 @@ def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts.append(base + first)
         sizes.append(np.diff(np.r_[first, count]))
         anchors.append(h[at[first]].view(np.int64))
+        offsets.append(at[first] - first)
     if not starts:
-        return (np.zeros(0, np.int64),) * 3
-    return np.concatenate(starts), np.concatenate(sizes), np.concatenate(anchors)
+        return (np.zeros(0, np.int64),) * 4
+    return tuple(map(np.concatenate, (starts, sizes, anchors, offsets)))
 
 
 _PLACE = "doc long, copy int"
@@ -125,7 +131,7 @@ def _batch(columns: list, names: list[str], kinds: list[pa.DataType]) -> pa.Reco
 
 
 def _all_segments(rows: DataFrame, anchors_only: bool) -> DataFrame:
-    """(anchor) or (anchor, seg, doc, copy, start, n) of all documents; seg hashes the segment's bytes."""
+    """(anchor) or (anchor, seg, doc, copy, start, n, at) of all documents; seg hashes the segment's bytes."""
     digest = xxhash.xxh64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +139,13 @@ def _all_segments(rows: DataFrame, anchors_only: bool) -> DataFrame:
             out, have = [], 0
             for doc, copy, data in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)):
                 data = data.as_py()
-                start, n, anchor = segments(data)
+                start, n, anchor, at = segments(data)
                 if anchors_only:
                     out.append((anchor,))
                 else:
                     ends = (start + n + (WINDOW - 1)).tolist()
                     seg = np.fromiter((digest(data[a:b]) for a, b in zip(start.tolist(), ends)), np.uint64, len(start))
-                    out.append((anchor, seg.view(np.int64), np.full(len(start), doc), np.full(len(start), copy, np.int32), start, n))
+                    out.append((anchor, seg.view(np.int64), np.full(len(start), doc), np.full(len(start), copy, np.int32), start, n, at))
                 have += len(start)
                 if have > 100_000:
                     yield flush(out)
@@ -148,59 +154,94 @@ def _all_segments(rows: DataFrame, anchors_only: bool) -> DataFrame:
                 yield flush(out)
 
     def flush(out: list) -> pa.RecordBatch:
-        names = ["anchor", "seg", "doc", "copy", "start", "n"]
+        names = ["anchor", "seg", "doc", "copy", "start", "n", "at"]
         columns = [np.concatenate(c) for c in zip(*out)]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int16(), pa.int16()]
         return _batch(columns, names[: len(columns)], kinds)
 
-    kinds = "anchor long" if anchors_only else "anchor long, seg long, doc long, copy int, start long, n int"
+    kinds = "anchor long" if anchors_only else "anchor long, seg long, doc long, copy int, start long, n smallint, at smallint"
     return rows.select("doc", "copy", "data").mapInArrow(run, kinds)
 
 
-_PIECE = "bucket long, data binary, doc long, copy int, start long, n int"
+_PIECE = "group long, data binary, doc long, copy int, start long, n int, at int"
+_NAMES = ["group", "data", "doc", "copy", "start", "n", "at"]
+_KINDS = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+#: A window holds its anchor and, on one side of it, at least so many of its other bytes.
+HALF = -(-(WINDOW - ANCHOR) // 2)
+
+
+def _sides(data: bytes, at: int) -> tuple[bytes | None, bytes | None]:
+    """The anchor with what lies on its left, and on its right, as far as a shared window must reach."""
+    return (
+        data[at - HALF : at + ANCHOR] if at >= HALF else None,
+        data[at : at + ANCHOR + HALF] if len(data) >= at + ANCHOR + HALF else None,
+    )
+
+
+def _hash(data: bytes, seed: int) -> int:
+    return xxhash.xxh64_intdigest(data, seed) - (1 << 63)
+
 
+def _pieces(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bytes of the wanted segments, each with the group in which it may meet equal windows.
 
-def _pieces(rows: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
-    """The bytes of the wanted segments by bucket; bucket -1 says that an earlier equal window is known."""
+    That is the anchor's, or, for a crowded anchor, those of the anchor with its left and its right.
+    """
     mine = wanted.groupBy(F.col("doc").alias("d"), F.col("copy").alias("c")).agg(
-        F.collect_list(F.struct("start", "n", "anchor", "crowded")).alias("list")
+        F.collect_list(F.struct("start", "n", "at", "anchor", "crowded")).alias("list")
     )
     held = rows.join(mine, (rows["doc"] == mine["d"]) & (rows["copy"] == mine["c"])).select("doc", "copy", "data", "list")
-    names = ["bucket", "data", "doc", "copy", "start", "n"]
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, copy, data, found in zip(*(c.to_pylist() for c in batch.columns)):
+                out = []
+                for s in found:
+                    start, n, at = s["start"], s["n"], s["at"]
+                    piece = data[start : start + n + WINDOW - 1]
+                    groups = [s["anchor"]]
+                    if s["crowded"]:
+                        groups = [_hash(side, i) for i, side in enumerate(_sides(piece, at)) if side is not None]
+                    out += [(g, piece, doc, copy, start, n, at) for g in groups]
+                if out:
+                    yield _batch(list(zip(*out)), _NAMES, _KINDS)
+
+    return held.mapInArrow(run, _PIECE)
+
+
+def _by_window(pieces: DataFrame) -> DataFrame:
+    """Pieces cut into single windows, each in a group of its own bytes; for groups that are too large.
+
+    Equal windows are folded in the task. A window whose earlier place the task knows has no group.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folded: dict[bytes, tuple] = {}
 
         def passed_on() -> pa.RecordBatch:
-            out = [(xxhash.xxh64_intdigest(w, 1) % buckets, w, *place, 1) for w, place in folded.items()]
+            out = [(_hash(w, 2), w, *place, 1, -1) for w, place in folded.items()]
             folded.clear()
-            return _batch(list(zip(*out)) or [()] * 6, names, kinds)
+            return _batch(list(zip(*out)), _NAMES, _KINDS)
 
         for batch in batches:
-            for doc, copy, data, found in zip(*(c.to_pylist() for c in batch.columns)):
+            for _, data, doc, copy, start, n, _ in zip(*(c.to_pylist() for c in batch.columns)):
                 out = []
-                for s in found:
-                    start, n = s["start"], s["n"]
-                    if not s["crowded"]:
-                        out.append((s["anchor"] % buckets, data[start : start + n + WINDOW - 1], doc, copy, start, n))
-                        continue
-                    for at in range(start, start + n):
-                        window, place = data[at : at + WINDOW], (doc, copy, at)
-                        known = folded.get(window)
-                        if known is None or place < known:
-                            folded[window] = place
-                            place = known
-                        if place is not None:
-                            out.append((-1, None, *place, 1))
+                for i in range(n):
+                    window, place = data[i : i + WINDOW], (doc, copy, start + i)
+                    known = folded.get(window)
+                    if known is None or place < known:
+                        folded[window] = place
+                        place = known
+                    if place is not None and place != folded[window]:
+                        out.append((None, None, *place, 1, -1))
                 if out:
-                    yield _batch(list(zip(*out)), names, kinds)
+                    yield _batch(list(zip(*out)), _NAMES, _KINDS)
                 if len(folded) >= FOLDED_WINDOWS:
                     yield passed_on()
         if folded:
             yield passed_on()
 
-    return held.mapInArrow(run, _PIECE)
+    return pieces.mapInArrow(run, _PIECE)
 
 
 def transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,8 +317,25 @@ def merged_blocks(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> np
     return out
 
 
+_RUN = pa.schema([("doc", pa.int64()), ("copy", pa.int32()), ("start", pa.int64()), ("n", pa.int32())])
+
+
+def _promising(data: list[bytes], at: list[int]) -> np.ndarray:
+    """Pieces that may share a window with another: those that share one side of the anchor.
+
+    Pieces without an anchor (at: -1) are single windows and stay.
+    """
+    sides = [_sides(d, a) if a >= 0 else (d, None) for d, a in zip(data, at)]
+    seen = [Counter(s[i] for s in sides if s[i] is not None) for i in (0, 1)]
+    return np.array([a < 0 or seen[0][x] > 1 or seen[1][y] > 1 for (x, y), a in zip(sides, at)], bool)
+
+
 def _repeats(pieces: pa.Table) -> pa.Table:
     """Runs of windows (doc, copy, start, n) of one bucket that start at an earlier place as well."""
+    chosen = _promising(pieces["data"].to_pylist(), pieces["at"].to_pylist())
+    pieces = pieces.filter(pa.array(chosen))
+    if not pieces.num_rows:
+        return pa.table({"doc": [], "copy": [], "start": [], "n": []}, _RUN)
     data = pieces["data"].combine_chunks()
     flat = np.frombuffer(b"\0".join(data.to_pylist()) + b"\0", np.uint8)
     sizes = np.array([len(d.as_py()) for d in data], np.int64)
@@ -298,15 +356,19 @@ def _repeats(pieces: pa.Table) -> pa.Table:
     doc, copy = pieces["doc"].to_numpy()[piece], pieces["copy"].to_numpy()[piece]
     place = start[piece] + inside
     order = np.lexsort((place, copy, doc))
-    later = np.ones(len(piece), bool)
-    later[order[np.unique(group[order], return_index=True)[1]]] = False
+    moved = (doc[order][1:] != doc[order][:-1]) | (copy[order][1:] != copy[order][:-1]) | (place[order][1:] != place[order][:-1])
+    number = np.empty(len(order), np.int64)  # of the place: a piece can be here for each side of its anchor
+    number[order] = np.r_[0, np.cumsum(moved)]
+    earliest = np.full(int(block.max()) + 1, len(order))
+    np.minimum.at(earliest, group, number)
+    later = number > earliest[group]
     # Runs of later windows within a piece.
     hit = np.flatnonzero(later)
     new = np.r_[True, (np.diff(hit) != 1) | (piece[hit][1:] != piece[hit][:-1])] if len(hit) else np.zeros(0, bool)
     first = hit[new]
     length = np.diff(np.r_[np.flatnonzero(new), len(hit)])
     return pa.table(
-        {"doc": doc[first], "copy": copy[first].astype(np.int32), "start": place[first], "n": length.astype(np.int32)}
+        {"doc": doc[first], "copy": copy[first].astype(np.int32), "start": place[first], "n": length.astype(np.int32)}, _RUN
     )
 
 
@@ -318,25 +380,35 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     found = found.join(twice, found["anchor"] == twice["a"], "left_semi")
     found = materialise(found, "repeated_segments")
     place = F.struct("doc", "copy", "start")
-    firsts = found.groupBy("anchor", "seg").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.count("*").alias("times"))
+    firsts = found.groupBy("anchor", "seg").agg(F.min(place).alias("first"), F.first(F.struct("n", "at")).alias("size"), F.count("*").alias("times"))
     firsts = materialise(firsts, "first_segments")
 
     # Segments equal to an earlier one are repeated as a whole.
     copied = firsts.filter("times > 1").select(F.col("anchor").alias("a"), F.col("seg").alias("s"), "first")
     whole = found.join(copied, (found["anchor"] == copied["a"]) & (found["seg"] == copied["s"])).filter(place != F.col("first"))
-    whole = whole.select("doc", "copy", "start", "n")
+    whole = whole.select("doc", "copy", "start", F.col("n").cast("int").alias("n"))
 
     # Different segments of one anchor may share windows.
     mixed = firsts.groupBy("anchor").agg(F.count("*").alias("segs")).filter("segs > 1")
     mixed = mixed.select(F.col("anchor").alias("a"), (F.col("segs") > CROWDED).alias("crowded"))
-    wanted = firsts.join(mixed, firsts["anchor"] == mixed["a"]).select("first.*", "n", "anchor", "crowded")
+    wanted = firsts.join(mixed, firsts["anchor"] == mixed["a"]).select("first.*", "size.*", "anchor", "crowded")
     wanted = materialise(wanted, "mixed_segments")
-    size = F.when(F.col("crowded"), F.col("n") * WINDOW).otherwise(F.col("n") + WINDOW)
-    total = wanted.agg(F.sum(size)).first()[0] or 0
+    pieces = materialise(_pieces(rows, wanted), "segment_pieces")
+    large = pieces.groupBy(F.col("group").alias("g")).count().filter(F.col("count") > LARGE_GROUP).select("g")
+    large = materialise(large, "large_groups")
+    known = pieces.limit(0)
+    if not large.isEmpty():
+        single = _by_window(pieces.join(large, pieces["group"] == large["g"], "left_semi"))
+        single = materialise(single, "single_windows")
+        pieces = pieces.join(large, pieces["group"] == large["g"], "left_anti")
+        pieces = pieces.unionByName(single.filter("group IS NOT NULL"))
+        known = single.filter("group IS NULL")
+    known = known.select("doc", "copy", "start", "n")
+    total = pieces.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    pieces = materialise(_pieces(rows, wanted, buckets), "segment_pieces")
-    known = pieces.filter("bucket < 0").select("doc", "copy", "start", "n")
-    compared = pieces.filter("bucket >= 0").groupBy("bucket").applyInArrow(_repeats, "doc long, copy int, start long, n int")
+    bucket = F.pmod(F.xxhash64("group"), F.lit(buckets)).alias("bucket")
+    compared = pieces.select(bucket, "data", "doc", "copy", "start", "n", "at")
+    compared = compared.groupBy("bucket").applyInArrow(_repeats, "doc long, copy int, start long, n int")
     return whole.unionByName(known).unionByName(compared)
 
 
