@@ -26,6 +26,8 @@ WINDOW = 100
 ANCHOR = 24
 #: Windows that are hashed at once; bounds memory in long documents.
 CHUNK = 1 << 20
+#: Characters that are sorted at once to begin with; 9 bits each.
+PACKED = 7
 #: Bytes of a bucket and of a shard within it.
 BUCKET_BYTES, SHARD_BYTES = 1 << 20, 1 << 18
 #: An anchor with more different segments is dealt out by both its sides, and a group of more pieces
@@ -247,24 +249,24 @@ def _by_window(pieces: DataFrame) -> DataFrame:
 def transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted rotations of the strings of one shard: (row to position, position to row).
 
-    ``text`` holds the strings, each ended by 0; a string follows itself. By doubling.
+    ``text`` holds the strings, each ended by 0; a string follows itself. By doubling, until rows
+    differ or agree on more than WINDOW characters, which the merge doesn't look beyond.
     """
     ahead = _rotated(ends, len(text))
-    rank = text.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    jump, depth, classes = ahead, 1, 0
-    longest = int(np.diff(np.r_[-1, ends]).max())
+    rank, jump = text.astype(np.int64), ahead
+    for _ in range(PACKED - 1):  # several characters in one number to begin with
+        rank = rank << 9 | text[jump]
+        jump = ahead[jump]
+    depth, classes, enough = PACKED, 0, min(WINDOW, int(np.diff(np.r_[-1, ends]).max()))
     while True:
-        key = rank * (int(rank.max()) + 1) + rank[jump] if depth > 1 or classes else rank
-        order = np.argsort(key, kind="stable")
-        step = np.r_[0, np.cumsum(key[order][1:] != key[order][:-1])]
-        rank = np.empty_like(rank)
-        rank[order] = step
-        if step[-1] + 1 == len(text) or step[-1] + 1 == classes or depth > longest:
+        order = np.argsort(rank, kind="stable")
+        step = np.r_[0, np.cumsum(rank[order][1:] != rank[order][:-1])]
+        if step[-1] + 1 in (len(text), classes) or depth >= enough:
             break
-        if classes:
-            jump, depth = jump[jump], depth * 2
-        classes = int(step[-1]) + 1
+        classes, number = int(step[-1]) + 1, np.empty_like(rank)
+        number[order] = step
+        rank = number * classes + number[jump]
+        jump, depth = jump[jump], depth * 2
     back = np.empty(len(text), np.int64)
     back[order] = np.arange(len(text))
     return order, back
@@ -284,7 +286,8 @@ def merged_blocks(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> np
     the interleave so far, behind the rows of its preceding character (a stable deal by the transform's
     character, then the step back in the text): thereby the interleave is right for one character
     more. A block ends where the characters differ or where the blocks one character shorter did, so
-    common prefixes come with the rounds. Equal rounds end the work early.
+    common prefixes come with the rounds. Rows that are alone in their block leave the work: what
+    precedes them is alone one round later.
     """
     last, back_row, position, base = [], [], [], 0
     for text, ends in shards:
@@ -298,20 +301,22 @@ def merged_blocks(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> np
     last, back_row, position = map(np.concatenate, (last, back_row, position))
     codes = np.unique(last, return_inverse=True)[1].astype(np.uint8 if len(np.unique(last)) <= 256 else np.uint16)
     back_row = back_row.astype(np.int32)
-    interleave, block, blocks = np.arange(base, dtype=np.int32), np.zeros(base, np.int32), 1
+    # Rows that share their block; a row alone in its block is settled, as are those before it.
+    interleave, block = np.arange(base, dtype=np.int32), np.zeros(base, np.int32)
     for _ in range(depth):
         dealt = codes[interleave]
         order = np.argsort(dealt, kind="stable")
         came, char = interleave[order], dealt[order]
         shorter = block[came]
-        interleave = back_row[came]
-        step = np.cumsum((char[1:] != char[:-1]) | (shorter[1:] != shorter[:-1]), dtype=np.int32)
-        block = np.empty(base, np.int32)
-        block[interleave[0]] = 0
-        block[interleave[1:]] = step
-        if len(step) and step[-1] + 1 == blocks:
+        new = np.r_[True, (char[1:] != char[:-1]) | (shorter[1:] != shorter[:-1])]
+        shared = ~(new & np.r_[new[1:], True])
+        interleave = back_row[came[shared]]
+        if not len(interleave):
             break
-        blocks = int(step[-1]) + 1 if len(step) else 1
+        block[interleave] = np.cumsum(new[shared], dtype=np.int32) - 1
+    alone = np.ones(base, bool)
+    alone[interleave] = False
+    block[alone] = base + np.flatnonzero(alone)
     out = np.empty(base, np.int32)
     out[position] = block
     return out
