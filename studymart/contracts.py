@@ -40,6 +40,7 @@ CALENDAR_DAYS = 3660
 
 # --- Columns and schemas ----------------------------------------------------
 
+REJECTS = "rejected_fields"  # columns of a typed row that were unreadable
 DAY = "dt"  # partition column of every landed, silver and gold folder
 
 STUDY_SCHEMA = T.StructType(

@@ -8,6 +8,7 @@ from studymart.functions.clinical import (
     percentage,
     ratio,
     stage_rank,
+    try_read,
     zero_if_null,
 )
 
@@ -21,5 +22,6 @@ __all__ = [
     "percentage",
     "ratio",
     "stage_rank",
+    "try_read",
     "zero_if_null",
 ]

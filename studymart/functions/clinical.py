@@ -4,6 +4,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from studymart.contracts import (
     AHI_CLASSES,
@@ -29,6 +30,16 @@ def null_if_token(text: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
     return F.when(~text.isin(*tokens), text)
 
 
+def try_read(value: Column, data_type: T.DataType) -> Column:
+    """The value as the type, NULL where it doesn't read.
+
+    A time with an offset is moved to UTC, a time without one is kept; the session zone is UTC.
+    """
+    if isinstance(data_type, T.TimestampNTZType):
+        return value.try_cast(T.TimestampType()).cast(data_type)
+    return value.try_cast(data_type)
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """``part / whole``; NULL where ``whole`` is 0, also in ANSI mode."""
     return part / F.nullif(whole, F.lit(0))

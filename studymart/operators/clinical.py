@@ -11,7 +11,7 @@ Cohort figures are means and counts over `clinical_joined`. They never build its
 many joined rows a cell stands for.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType
 
 from studymart.contracts import AHI_TOP_CLASS
 from studymart.functions import ahi, ahi_severity, ratio, zero_if_null
-from studymart.operators.skew import salted_left_join
+from studymart.operators.skew import split_left_join
 
 COUNTS = ("total_events", "apnea_count", "hypopnea_count", "arousal_count")
 SUMMARY_COLUMNS = (
@@ -48,29 +48,20 @@ def clinical_joined(
     summary: DataFrame,
     rates: DataFrame,
     unknown_label: str = AHI_TOP_CLASS,
-    heavy: Mapping[str, int] | None = None,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """Studies with their event rates by date; studies without events keep zero counts.
 
-    No hint: adaptive execution broadcasts the rates when their measured size allows it and
-    otherwise splits an oversized partition of the study side. What it cannot see is a study
-    id whose rows fit a partition but multiply in the join. Give such ids with their row
-    counts as ``heavy``, as `studymart.operators.skew.heavy_values` finds them, and they are
-    joined in parts of their own. The rows are the same either way.
+    Every study id is joined in as many parts as its rows and dates, multiplied, ask for, so an
+    id that repeats ends in no single task. ``summary`` should be a row-wise view of a table;
+    filter it before. With ``unique_ids`` the caller vouches for one row per id, as tested marts
+    have, and the join is a plain one.
     """
     studies = summary.select(*SUMMARY_COLUMNS)
-    if heavy:
-        alone = F.col("study_id").isin(*heavy)
-        rest = ~alone | F.col("study_id").isNull()
-        joined = (
-            studies.where(rest)
-            .join(rates.where(rest), "study_id", "left")
-            .unionByName(
-                salted_left_join(studies.where(alone), rates.where(alone), "study_id", heavy)
-            )
-        )
-    else:
+    if unique_ids:
         joined = studies.join(rates, "study_id", "left")
+    else:
+        joined = split_left_join(studies, rates, "study_id", F.monotonically_increasing_id())
     return _with_index(
         joined.select(
             *SUMMARY_COLUMNS,
@@ -132,31 +123,28 @@ def cohort_cells(
 
     Both sides are folded before they meet, so repeated ids never multiply raw rows. A
     cell is bounded by the distinct sleep times of an id on one side and its distinct
-    daily counts on the other. Apply `cohort_filter` to ``summary`` first.
+    daily sums on the other, and an id with many of both is joined in parts. Apply `cohort_filter` to ``summary`` first.
     """
     studies = summary.groupBy("study_id", "total_sleep_time_min", "age_group").agg(
         F.count("*").alias("study_rows"),
         *[F.sum(m).alias(f"{p}_total") for m, p in MEASURES.items()],
         *[F.count(m).alias(f"{p}_count") for m, p in MEASURES.items()],
     )
-    # Placed by study once, the rates are grouped and joined without moving again. An id
-    # has at most one row per date here, so none can fill a partition.
-    daily = (
-        rates.repartition("study_id")
-        .groupBy("study_id", "apnea_count", "hypopnea_count")
-        .agg(F.count("*").alias("days"))
-    )
+    # The index needs the breathing events of a day, not which they were.
+    breathing = (F.col("apnea_count") + F.col("hypopnea_count")).alias("breathing")
+    daily = rates.groupBy("study_id", breathing).agg(F.count("*").alias("days"))
     days = F.coalesce("days", F.lit(1))
-    cells = studies.join(daily, "study_id", "left").select(
+    salt = F.xxhash64("total_sleep_time_min", "age_group")
+    cells = split_left_join(studies, daily, "study_id", salt).select(
         "study_id",
         "total_sleep_time_min",
         "age_group",
-        zero_if_null(F.col("apnea_count")).alias("apnea_count"),
-        zero_if_null(F.col("hypopnea_count")).alias("hypopnea_count"),
+        zero_if_null(F.col("breathing")).alias("apnea_count"),
+        F.lit(0).alias("hypopnea_count"),
         (F.col("study_rows") * days).alias("weight"),
         *_measure_columns(days, lambda m, p: (F.col(f"{p}_total"), F.col(f"{p}_count"))),
     )
-    return _with_index(cells, unknown_label)
+    return _with_index(cells, unknown_label).drop("apnea_count", "hypopnea_count")
 
 
 def unit_cells(clinical: DataFrame) -> DataFrame:

@@ -59,10 +59,17 @@ def dim_time(
 
 
 def calendar_activity(calendar: DataFrame, rates: DataFrame) -> DataFrame:
-    """Every calendar day with the events that fell on it, 0 where there were none."""
+    """Every calendar day with the events that fell on it, 0 where there were none.
+
+    Days outside the calendar that have events get a line too, and so do undated events.
+    """
     per_day = rates.groupBy("event_date").agg(F.sum("total_events").alias("day_events"))
-    return calendar.join(per_day, calendar.date_actual == per_day.event_date, "left").select(
-        *calendar.columns, F.coalesce("day_events", F.lit(0)).alias("total_events")
+    both = calendar.join(per_day, calendar.date_actual == per_day.event_date, "full")
+    day = F.coalesce("date_actual", "event_date")
+    return both.select(
+        day.alias("date_actual"),
+        *[part(day).cast("int").alias(n) for n, part in (("year", F.year), ("month", F.month), ("quarter", F.quarter))],
+        F.coalesce("day_events", F.lit(0)).alias("total_events"),
     )
 
 

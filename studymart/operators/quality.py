@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from studymart.contracts import REPORT_SCHEMA, STAGE_SUM_BUFFER_MIN
+from studymart.contracts import NULL_TOKENS, REJECTS, REPORT_SCHEMA, STAGE_SUM_BUFFER_MIN
+from studymart.functions import null_if_token, try_read
 from studymart.sources.files import MissingInput, scan_any
 
 
@@ -38,21 +39,36 @@ def accepted_values(column: str, values: Sequence, rule: str = "accepted_values"
 def typed_as(column: str, data_type: T.DataType, rule: str | None = None) -> RowRule:
     """Text must read as the type; NULL passes."""
     name = rule or data_type.simpleString()
-    return RowRule(name, column, lambda c: c.isNotNull() & c.try_cast(data_type).isNull())
+    return RowRule(name, column, lambda c: c.isNotNull() & try_read(c, data_type).isNull())
+
+
+def readable(rejects: str, rule: str = "readable") -> RowRule:
+    """No value of the row may have been unreadable; ``rejects`` is the column that lists them."""
+    return RowRule(rule, rejects, lambda c: F.size(c) > 0)
 
 
 # What a table of sleep events must satisfy before it is aggregated.
 EVENT_RULES = (not_null("study_id"), positive("duration_sec"))
 
 
-def contract_rules(schema: T.StructType, required: Iterable[str], table: str) -> list[RowRule]:
-    """Required fields must be there and every non-text field must read as its type."""
+def contract_rules(
+    schema: T.StructType, required: Iterable[str], table: str, null_tokens: Iterable[str] = NULL_TOKENS
+) -> list[RowRule]:
+    """Required fields must be there and every non-text field must read as its type.
+
+    For landed text: null markers are NULL here as they are when the text is typed.
+    """
+    tokens = tuple(null_tokens)
+
+    def marked(rule: RowRule) -> RowRule:
+        return RowRule(rule.rule, rule.column, lambda c: rule.violated(null_if_token(c, tokens)))
+
     rules = [not_null(c, f"{table}.required") for c in required]
     for field in schema.fields:
         if not isinstance(field.dataType, T.StringType):
             kind = "number" if isinstance(field.dataType, T.NumericType) else field.dataType.typeName()
             rules.append(typed_as(field.name, field.dataType, f"{table}.{kind}"))
-    return rules
+    return [marked(r) for r in rules]
 
 
 def applicable(df: DataFrame, rules: Iterable[RowRule]) -> list[RowRule]:
@@ -109,10 +125,18 @@ def unaccepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame
     )
 
 
+def _overfull(total: Column) -> Column:
+    return total < F.col("rem_min") + F.col("deep_min") + F.col("light_min") - STAGE_SUM_BUFFER_MIN
+
+
+def stage_sum(rule: str = "fct_sleep_summary.stage_sum") -> RowRule:
+    """Stages must not add up to more than the night, beyond a rounding buffer."""
+    return RowRule(rule, "total_sleep_time_min", _overfull)
+
+
 def stage_sum_violations(summary: DataFrame) -> DataFrame:
-    """Studies whose stages add up to more than the night, beyond a rounding buffer."""
-    stages = F.col("rem_min") + F.col("deep_min") + F.col("light_min")
-    return summary.where(F.col("total_sleep_time_min") < stages - STAGE_SUM_BUFFER_MIN)
+    """The studies that break `stage_sum`."""
+    return summary.where(_overfull(F.col("total_sleep_time_min")))
 
 
 def combine(*reports: DataFrame) -> DataFrame:
@@ -149,13 +173,16 @@ def require_counts(rules: Sequence[RowRule], counts: dict) -> None:
 
 
 def check_path(spark: SparkSession, path: str) -> bool:
-    """Whether the events stored at a path (Parquet, or CSV as landed) satisfy the event rules."""
+    """Whether the events stored at a path (Parquet, or CSV as landed) satisfy the event rules.
+
+    Unreadable values and malformed lines of a CSV break them too.
+    """
     try:
-        events = scan_any(spark, path)
+        events = scan_any(spark, path, rejects=REJECTS)
     except MissingInput:
         return False
     try:
-        require(rule_report(events, EVENT_RULES))
+        require(rule_report(events, [*EVENT_RULES, readable(REJECTS)]))
     except QualityGateError:
         return False
     return True

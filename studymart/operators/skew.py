@@ -1,76 +1,25 @@
-"""Values that hold much of a table: finding them, and joining on them without a hot task."""
+"""Joins on keys whose rows multiply."""
 
-import math
-from collections.abc import Mapping
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Items the frequency sketch follows; its counts are then off by at most about 0.02% of the rows.
-TRACKED_ITEMS = 16_384
-# A row that stands for equal rows is joined in pieces: no smaller than this, no more than that.
-ROWS_PER_PIECE = 100
-PIECES_PER_ROW = 4_096
-# Parts of the heavy rows per task of the join, so that their hashes even out.
-PARTS_PER_TASK = 4
-
-
-def heavy_values(
-    df: DataFrame, column: str, share: float = 0.005, min_rows: int = 10_000
-) -> dict[str, int]:
-    """Values of a column that hold at least ``share`` of the rows, with estimated row counts.
-
-    One pass over one column with a fixed-size sketch: nothing is shuffled but the sketches,
-    and at most 1 / share values come back. The counts are estimates, so use the result to
-    choose how to run a query, never what it returns.
-    """
-    most = math.ceil(1 / share)
-    found = df.agg(
-        F.count("*").alias("total"),
-        F.expr(f"approx_top_k(`{column}`, {most}, {TRACKED_ITEMS})").alias("items"),
-    ).first()
-    needed = max(found.total * share, min_rows)
-    return {
-        i["item"]: i["count"]
-        for i in found["items"] or []
-        if i["item"] is not None and i["count"] >= needed
-    }
+# Joined rows that one part of a key is meant to make.
+PART_ROWS = 20_000
 
 
-def salted_left_join(
-    left: DataFrame, right: DataFrame, key: str, weights: Mapping[str, int]
-) -> DataFrame:
-    """``left.join(right, key, "left")`` for sides that hold only the keys of ``weights``.
+def split_left_join(left: DataFrame, right: DataFrame, key: str, salt: Column, part_rows: int = PART_ROWS) -> DataFrame:
+    """``left.join(right, key, "left")``, each key's pairs dealt into parts of about ``part_rows``.
 
-    The rows of a key are cut into parts in proportion to its weight; each part meets a copy
-    of the key's right rows. Equal left rows travel as one row with a count, cut into pieces
-    when they are many, and come apart again after the join. The number of tasks is given
-    outright: the sizes that adaptive execution goes by say nothing about how the rows of
-    these keys multiply.
+    How many parts a key has follows from its rows on both sides, multiplied; most have one. The
+    left rows of a key are dealt by ``salt``, which must be the same when a task runs again, and
+    each part meets a copy of the key's right rows. So a key needs only so few right rows that a
+    task can hold them. Nothing is grouped but the key, and values stay as they are.
     """
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = sum(weights.values())
-    parts = {k: max(1, math.ceil(PARTS_PER_TASK * tasks * w / total)) for k, w in weights.items()}
-    parts_of_key = F.element_at(
-        F.create_map(*[F.lit(v) for pair in parts.items() for v in pair]), F.col(key)
-    )
-    columns = left.columns
-    size = F.greatest(F.lit(ROWS_PER_PIECE), F.ceil(F.col("_copies") / PIECES_PER_ROW))
-    last = F.floor((F.col("_copies") - 1) / F.col("_size"))
-    pieces = (
-        left.groupBy(*columns)
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_size", size)
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
-        .select(
-            *columns,
-            F.least("_size", F.col("_copies") - F.col("_piece") * F.col("_size")).alias("_rows"),
-            F.pmod(F.xxhash64(*columns, "_piece"), parts_of_key).cast("int").alias("_part"),
-        )
-    )
-    copied = right.withColumn("_part", F.explode(F.sequence(F.lit(0), parts_of_key - 1)))
-    joined = pieces.repartition(tasks, key, "_part").join(
-        copied.repartition(tasks, key, "_part"), [key, "_part"], "left"
-    )
-    whole = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows"))))
-    return whole.drop("_part", "_rows", "_copy")
+    pairs = left.groupBy(key).agg(F.count("*").alias("_left")).join(right.groupBy(key).agg(F.count("*").alias("_right")), key)
+    parts = pairs.select(key, F.ceil(F.col("_left") * F.col("_right") / part_rows).alias("_parts")).where("_parts > 1")
+    of_key = F.coalesce("_parts", F.lit(1))
+    dealt = left.withColumn("_salt", salt).join(parts, key, "left")
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64("_salt"), of_key)).drop("_salt", "_parts")
+    copied = right.join(parts, key, "left")
+    copied = copied.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), of_key - 1))).drop("_parts")
+    return dealt.join(copied, [key, "_part"], "left").drop("_part")

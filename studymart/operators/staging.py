@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from studymart.contracts import EVENT_SCHEMA, KEPT_EVENT_TYPES, STUDY_SCHEMA
-from studymart.functions import normalise_event_type
+from studymart.functions import normalise_event_type, try_read
 
 
 def stg_events(raw_events: DataFrame, keep: Iterable[str] = KEPT_EVENT_TYPES) -> DataFrame:
@@ -36,7 +36,7 @@ def bronze_to_silver(bronze: DataFrame, keep: Iterable[str] = KEPT_EVENT_TYPES)
     return bronze.withColumns(
         {
             "event_type_norm": normalise_event_type(F.col("event_type"), keep),
-            "duration_sec": F.col("duration_sec").try_cast(types["duration_sec"]),
-            "study_datetime": F.col("study_datetime").try_cast(types["study_datetime"]),
+            "duration_sec": try_read(F.col("duration_sec"), types["duration_sec"]),
+            "study_datetime": try_read(F.col("study_datetime"), types["study_datetime"]),
         }
     ).withColumn("event_date", F.to_date("study_datetime"))

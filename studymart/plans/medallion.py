@@ -10,11 +10,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from studymart.contracts import DAY, EVENT_SCHEMA
+from studymart.contracts import DAY, EVENT_SCHEMA, REJECTS
 from studymart.operators.marts import fct_event_rates
 from studymart.operators.quality import (
     EVENT_RULES,
+    QualityGateError,
     applicable,
+    readable,
     require_counts,
     violation_counts,
 )
@@ -26,9 +28,13 @@ from studymart.sources.files import (
     scan_csv_text,
     scan_parquet,
     typed,
+    undated,
     write_days,
 )
 
+#: What silver is counted against while it is written.
+SILVER_RULES = (*EVENT_RULES, readable(REJECTS))
+
 log = logging.getLogger(__name__)
 
 
@@ -44,15 +50,16 @@ def write_silver(spark: SparkSession, base: str, days: list[date]) -> dict:
     """Type and normalise landed days; return the rule counts and the days with rows.
 
     A row-wise pass without a shuffle: the input is foldered by day, so each task holds few
-    days. The quality rules are counted by the same pass, not by another scan.
+    days. The quality rules are counted by the same pass, not by another scan. Each row lists its
+    unreadable columns, a malformed line as such, in a column of its own.
     """
     root = folder(base, "raw")
     text = scan_csv_text(spark, [day_path(root, d) for d in days], base_path=root)
-    silver = bronze_to_silver(typed(text, EVENT_SCHEMA))
+    silver = bronze_to_silver(typed(text, EVENT_SCHEMA, rejects=REJECTS))
     seen = Observation("silver")
     counted = silver.observe(
         seen,
-        *violation_counts(applicable(silver, EVENT_RULES)),
+        *violation_counts(applicable(silver, SILVER_RULES)),
         F.collect_set(F.col(DAY).cast("string")).alias("days"),
     )
     target = folder(base, "silver")
@@ -74,8 +81,20 @@ def write_gold(spark: SparkSession, base: str, days: list[date]) -> None:
 
 def _clear_days(like: DataFrame, root: str, days: list[date]) -> None:
     """Empty the folders of days that landed without rows, which no write has touched."""
-    for day in days:
-        like.drop(DAY).limit(0).write.mode("overwrite").parquet(day_path(root, day))
+    if not days:
+        return
+    spark = like.sparkSession
+    empty = like.drop(DAY).limit(0)
+    first, *rest = (day_path(root, d) for d in days)
+    empty.write.mode("overwrite").parquet(first)
+    # One job wrote the empty folder; the others are copies of it, made by the file system.
+    hadoop, util = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.hadoop.fs.FileUtil
+    conf = spark._jsc.hadoopConfiguration()
+    source = hadoop.Path(first)
+    files = source.getFileSystem(conf)
+    for path in rest:
+        files.delete(hadoop.Path(path), True)
+        util.copy(files, source, files, hadoop.Path(path), False, conf)
 
 
 def backfill(
@@ -84,13 +103,20 @@ def backfill(
     start: date | str,
     end: date | str,
     missing_ok: bool = False,
+    unreadable_ok: bool = False,
+    undated_ok: bool = False,
 ) -> None:
     """Process every day of an inclusive range in one pass over all of them.
 
     Days are replaced, so a rerun gives the same tables. A day without a landed folder stops
     the run, or is left out with ``missing_ok``. Broken quality rules stop it after silver
-    and before gold.
+    and before gold; so do unreadable values and malformed lines, unless they are let through as
+    NULL with ``unreadable_ok``, and a folder of rows without a day, which belongs to no range,
+    unless it is to be left out with ``undated_ok``.
     """
+    loose = undated(spark, folder(base, "raw"))
+    if loose and not undated_ok:
+        raise QualityGateError([("dated", DAY, scan_csv_text(spark, loose).count())])
     first, last = _as_date(start), _as_date(end)
     days = landed_days(spark, folder(base, "raw"), first, last)
     wanted = [first + timedelta(n) for n in range((last - first).days + 1)]
@@ -102,7 +128,7 @@ def backfill(
     if not days:
         return
     counts = write_silver(spark, base, days)
-    require_counts(EVENT_RULES, counts)
+    require_counts(EVENT_RULES if unreadable_ok else SILVER_RULES, counts)
     write_gold(spark, base, days)
     empty = [d for d in days if d not in counts["days"]]
     if empty:

@@ -35,23 +35,23 @@ def _save(df: DataFrame, table: str, buckets: int | None) -> None:
     writer.saveAsTable(table)
 
 
-def build_marts(spark: SparkSession, database: str, buckets: int | None = None) -> None:
-    """Mart models are tables, rebuilt whole from the staging views.
+def build_marts(spark: SparkSession, database: str, buckets: int | None = None, suffix: str = "") -> None:
+    """Mart models are tables, rebuilt whole from the staging views; ``suffix`` goes to their names.
 
     With ``buckets`` both facts are bucketed by study, which pays when they are joined often.
     It relies on the tested keys, one summary row per study and one rate row per study and
     date, which keep the buckets even. Without, adaptive execution plans each join.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    _save(fct_sleep_summary(spark.table("stg_sleep_study")), f"{database}.fct_sleep_summary", buckets)
-    _save(fct_event_rates(spark.table("stg_events")), f"{database}.fct_event_rates", buckets)
-    _save(dim_time(spark), f"{database}.dim_time", None)
+    _save(fct_sleep_summary(spark.table("stg_sleep_study")), f"{database}.fct_sleep_summary{suffix}", buckets)
+    _save(fct_event_rates(spark.table("stg_events")), f"{database}.fct_event_rates{suffix}", buckets)
+    _save(dim_time(spark), f"{database}.dim_time{suffix}", None)
 
 
 def clinical(spark: SparkSession, database: str) -> DataFrame:
     """The clinical frame over the mart tables; their tested keys leave no heavy study."""
     return clinical_joined(
-        spark.table(f"{database}.fct_sleep_summary"), spark.table(f"{database}.fct_event_rates")
+        spark.table(f"{database}.fct_sleep_summary"), spark.table(f"{database}.fct_event_rates"), unique_ids=True
     )
 
 
@@ -93,23 +93,44 @@ def accepted_value_tests(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def staging_tests(spark: SparkSession) -> DataFrame:
+    """Keys, and all row rules of a view in one scan of it."""
     tables = {name: spark.table(name) for name in STAGING_VIEWS}
-    return quality.combine(unique_tests(tables), not_null_tests(tables), accepted_value_tests(tables))
+    present = {name: quality.not_null("study_id", f"{name}.not_null") for name in STAGING_VIEWS}
+    types = quality.accepted_values("event_type", EVENT_TYPES, "stg_events.accepted_values")
+    return quality.combine(
+        unique_tests(tables),
+        quality.rule_report(tables["stg_sleep_study"], [present["stg_sleep_study"]]),
+        quality.rule_report(tables["stg_events"], [present["stg_events"], types]),
+    )
+
+
+def mart_tests(spark: SparkSession, database: str, suffix: str = "") -> DataFrame:
+    """Keys, presence, and stages that add up to no more than the night."""
+    tables = {name: spark.table(f"{database}.{name}{suffix}") for name in MART_FACTS}
+    present = {name: quality.not_null("study_id", f"{name}.not_null") for name in MART_FACTS}
+    return quality.combine(
+        unique_tests(tables),
+        quality.rule_report(tables["fct_sleep_summary"], [present["fct_sleep_summary"], quality.stage_sum()]),
+        quality.rule_report(tables["fct_event_rates"], [present["fct_event_rates"]]),
+    )
 
 
-def mart_tests(spark: SparkSession, database: str) -> DataFrame:
-    tables = {name: spark.table(f"{database}.{name}") for name in MART_FACTS}
-    return quality.combine(unique_tests(tables), not_null_tests(tables))
+def publish(spark: SparkSession, database: str, suffix: str) -> None:
+    """Put the tables built with ``suffix`` in the place of their predecessors."""
+    for name in (*MART_FACTS, "dim_time"):
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(f"ALTER TABLE {database}.{name}{suffix} RENAME TO {database}.{name}")
 
 
 def run(spark: SparkSession, raw_database: str, database: str, buckets: int | None = None) -> DataFrame:
     """Build everything from the raw tables and return the report of all model tests.
 
-    The staging views are tested before the marts replace their predecessors, and the marts
-    after; a failed test stops the run.
+    The staging views are tested first. The marts are built beside their predecessors, tested,
+    and only then take their names; a failed test stops the run and leaves the old ones.
     """
     register_staging(spark, raw_database)
     staging = quality.require(staging_tests(spark))
-    build_marts(spark, database, buckets)
-    marts = quality.require(mart_tests(spark, database))
+    build_marts(spark, database, buckets, suffix="__new")
+    marts = quality.require(mart_tests(spark, database, suffix="__new"))
+    publish(spark, database, "__new")
     return quality.combine(staging, marts)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from studymart.contracts import DAY, EVENT_SCHEMA, NULL_TOKENS, landing_columns
-from studymart.functions import null_if_token
+from studymart.functions import null_if_token, try_read
 
 CORRUPT = "_corrupt_record"
 DAY_FOLDER = re.compile(DAY + r"=(\d{4}-\d{2}-\d{2})")
@@ -31,17 +31,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def _some_data_file(spark: SparkSession, path: str) -> str | None:
-    """Name of one data file below a path, without listing the rest."""
+def _formats(spark: SparkSession, path: str) -> set[str]:
+    """Which of parquet and csv lie below a path; hidden files and folders don't count."""
     target, files = _hadoop_path(spark, path)
     if not files.exists(target):
         raise MissingInput(path)
-    found = files.listFiles(target, True)
-    while found.hasNext():
-        name = found.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return name
-    return None
+    root, found, kinds = files.makeQualified(target).toString(), files.listFiles(target, True), set()
+    while found.hasNext() and len(kinds) < 2:
+        below = found.next().getPath().toString().removeprefix(root).strip("/").split("/")
+        if not any(part.startswith(("_", ".")) for part in below):
+            kinds.add("parquet" if ".parquet" in (below[-1] or root) else "csv")
+    return kinds
 
 
 def landed_days(spark: SparkSession, root: str, start: date, end: date) -> list[date]:
@@ -54,6 +54,12 @@ def landed_days(spark: SparkSession, root: str, start: date, end: date) -> list[
     return sorted(d for d in days if start <= d <= end)
 
 
+def undated(spark: SparkSession, root: str) -> str | None:
+    """The folder of rows without a day, if it landed."""
+    path = f"{root.rstrip('/')}/{DAY}=__HIVE_DEFAULT_PARTITION__"
+    return path if path_exists(spark, path) else None
+
+
 def day_path(root: str, day: date) -> str:
     return f"{root.rstrip('/')}/{DAY}={day.isoformat()}"
 
@@ -77,10 +83,10 @@ def typed(
         c: null_if_token((F.col(c) if c in raw.columns else F.lit(None)).cast("string"), tokens)
         for c in types
     }
-    columns: list[Column] = [texts[c].try_cast(t).alias(c) for c, t in types.items()]
+    columns: list[Column] = [try_read(texts[c], t).alias(c) for c, t in types.items()]
     if rejects:
         flags = [
-            F.when(texts[c].isNotNull() & texts[c].try_cast(t).isNull(), F.lit(c))
+            F.when(texts[c].isNotNull() & try_read(texts[c], t).isNull(), F.lit(c))
             for c, t in types.items()
             if not isinstance(t, T.StringType)
         ]
@@ -185,16 +191,24 @@ def scan_parquet(
         raise MissingInput(", ".join(paths)) from error
 
 
-def scan_any(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
-    """Parquet or CSV, told apart by the files found. CSV is typed, columns it lacks left out."""
-    name = _some_data_file(spark, path)
-    if name is None:
+def scan_any(
+    spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, rejects: str | None = None
+) -> DataFrame:
+    """Parquet or CSV, told apart by the files found; a folder with both fails.
+
+    CSV is typed, columns it lacks are left out; ``rejects`` is as in `typed` and empty for Parquet.
+    """
+    kinds = _formats(spark, path)
+    if not kinds:
         raise MissingInput(path)
-    if ".parquet" in name:
-        return spark.read.parquet(path)
+    if len(kinds) > 1:
+        raise ValueError(f"{path} holds both Parquet and CSV")
+    if kinds == {"parquet"}:
+        stored = spark.read.parquet(path)
+        return stored.withColumn(rejects, F.array().cast("array<string>")) if rejects else stored
     text = scan_csv_text(spark, path)
     present = T.StructType([f for f in schema.fields if f.name in text.columns])
-    return typed(text, present)
+    return typed(text, present, rejects=rejects)
 
 
 def read_days(

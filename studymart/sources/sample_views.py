@@ -70,6 +70,25 @@ SELECT CASE event_id % 9 WHEN 0 THEN 'NULL' ELSE concat('STUDY_', lpad(CAST(user
 FROM {events}
 """
 
+# Studies that repeat their ids, on other and on equal days, and some without an id.
+RAW_STUDIES_REPEATED = """
+SELECT CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE concat('STUDY_', lpad(CAST(o_custkey AS STRING), 9, '0')) END AS study_id,
+       DATE '2024-01-01' + CAST(o_orderkey % 5 AS INT) AS study_date,
+       CAST(CASE WHEN o_orderkey % 41 = 0 THEN 0 ELSE 300 + o_orderkey % 3 END AS DOUBLE) AS total_sleep_time_min,
+       CAST(60 + o_orderkey % 2 AS DOUBLE) AS rem_min, CAST(50 AS DOUBLE) AS deep_min, CAST(150 AS DOUBLE) AS light_min,
+       CASE o_orderkey % 3 WHEN 0 THEN '18-30' WHEN 1 THEN '71+' END AS age_group,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'M' ELSE 'F' END AS sex
+FROM {orders}
+"""
+
+# Times with and without an offset, as text.
+RAW_EVENTS_OFFSETS = """
+SELECT concat('STUDY_', lpad(CAST(user_id AS STRING), 9, '0')) AS study_id, 'apnea' AS event_type, '1.5' AS duration_sec,
+       CASE event_id % 4 WHEN 0 THEN '2024-01-01T23:30:00-05:00' WHEN 1 THEN '2024-01-01T23:30:00.000Z'
+                         WHEN 2 THEN '2024-01-02 01:15:00+02:00' ELSE '2024-01-01 23:30:00' END AS study_datetime
+FROM {events}
+"""
+
 # Nominal 128 Hz, so bin k of a 64-sample epoch lies at 2k Hz.
 SIGNAL_EPOCHS = """
 SELECT concat('PHYS_', lpad(CAST(vec_id % 5 AS STRING), 3, '0')) AS subject_id,
@@ -88,11 +107,14 @@ TEXTS = {
     "raw_events_dirty": RAW_EVENTS_DIRTY,
     "raw_studies_dirty": RAW_STUDIES_DIRTY,
     "raw_events_tokens": RAW_EVENTS_TOKENS,
+    "raw_studies_repeated": RAW_STUDIES_REPEATED,
+    "raw_events_offsets": RAW_EVENTS_OFFSETS,
     "signal_epochs": SIGNAL_EPOCHS,
 }
 # The columns used, declared so that no job has to look into a file for them.
 BASE_TABLES = {
     "customer": "c_custkey long",
+    "orders": "o_orderkey long, o_custkey long",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
     "embeddings": "vec_id long, embedding array<float>, label int",
 }

@@ -3,9 +3,10 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from studymart.contracts import EVENT_SCHEMA, EVENT_SILVER_SCHEMA, STUDY_SCHEMA, with_decimals
+from studymart.contracts import EVENT_SCHEMA, EVENT_SILVER_SCHEMA, REJECTS, STUDY_SCHEMA, with_decimals
 from studymart.sources.files import scan_csv
 
 # Logical source name -> table name in the raw database.
@@ -14,6 +15,14 @@ RAW_SCHEMAS = {"sleep_studies": STUDY_SCHEMA, "events": EVENT_SCHEMA}
 SILVER_TABLE = "events_silver"
 
 
+class UnreadableInput(ValueError):
+    """Files hold values that don't read as their type; carries their number by column."""
+
+    def __init__(self, table: str, counts: dict[str, int]):
+        self.counts = counts
+        super().__init__(f"not loaded into {table}: " + ", ".join(f"{c}: {n}" for c, n in counts.items()))
+
+
 def create_table(
     spark: SparkSession, name: str, schema: T.StructType, ingestion_time: bool = False
 ) -> None:
@@ -40,13 +49,20 @@ def load_csv(
     table: str,
     schema: T.StructType,
     file_pattern: str | None = None,
+    unreadable_ok: bool = False,
 ) -> None:
     """Append landed CSV files to a table, matching columns by header name.
 
     Table columns the files lack take their defaults. Loading the same files again appends
     them again; `studymart.streaming.ingest.ingest_once` loads each file only once.
+    Unreadable values and malformed lines stop the load before anything is appended, with a count
+    by column; ``unreadable_ok`` lets them in as NULL.
     """
-    rows = scan_csv(spark, paths, schema, file_pattern=file_pattern)
+    rows = scan_csv(spark, paths, schema, rejects=REJECTS, file_pattern=file_pattern)
+    if not unreadable_ok:
+        found = rows.select(F.explode(REJECTS).alias("c")).groupBy("c").count().orderBy("c").collect()
+        if found:  # a line for each column at most
+            raise UnreadableInput(table, {r["c"]: r["count"] for r in found})
     spark.sql(
         f"INSERT INTO {table} ({', '.join(schema.names)}) SELECT * FROM {{rows}}",
         rows=rows.select(*schema.names),

@@ -1,5 +1,8 @@
 """Loading each landed file exactly once."""
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,8 +26,9 @@ def ingest_once(
     """Load the CSV files under ``source`` that earlier calls have not loaded, then stop.
 
     The checkpoint remembers the files. Each micro-batch overwrites its own folder of the
-    target, so a batch that is run again after a failure replaces its rows instead of
-    adding to them. ``files_per_batch`` bounds a batch when the backlog is long; ``purge``
+    target, named by the checkpoint's stream and the batch: a batch that is run again after a
+    failure replaces its rows instead of adding to them, and another source or a fresh
+    checkpoint adds beside them. ``files_per_batch`` bounds a batch when the backlog is long; ``purge``
     deletes source files once their batch is done. Files must carry the landing header.
     With ``rejects`` every row lists its unreadable columns, as in `typed`.
     """
@@ -43,7 +47,8 @@ def ingest_once(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = typed(batch, schema, NULL_TOKENS, rejects)
-        rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        stream = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={stream}-{batch_id}")
 
     query = (
         reader.csv(source)
@@ -58,7 +63,12 @@ def ingest_once(
 def loaded(
     spark: SparkSession, target: str, schema: T.StructType, rejects: str | None = None
 ) -> DataFrame:
-    """The rows loaded so far."""
+    """The rows loaded so far; none before the first load."""
     if rejects:
         schema = T.StructType([*schema.fields, T.StructField(rejects, T.ArrayType(T.StringType()))])
-    return spark.read.schema(schema).option("basePath", target).parquet(f"{target}/{BATCH}=*")
+    try:
+        return spark.read.schema(schema).option("basePath", target).parquet(f"{target}/{BATCH}=*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

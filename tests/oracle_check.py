@@ -4,6 +4,7 @@
 """
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -55,7 +56,7 @@ def main(folder: str, names: list[str]) -> int:
 
     spark = build_session(
         "oracle-check", "local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
-        spark__sql__shuffle__partitions="8"
+        spark__sql__shuffle__partitions="8", spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="run-")
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = duck(folder)

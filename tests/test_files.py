@@ -167,3 +167,14 @@ def test_scan_any(spark, frame, base):
     Path(base, "void").mkdir()
     with pytest.raises(files.MissingInput):
         files.scan_any(spark, f"{base}/void")
+
+
+def test_scan_any_looks_at_every_file(spark, frame, base):
+    events = frame([("a",)], "study_id string")
+    events.write.parquet(f"{base}/mixed")
+    files.write_landing_csv(events, f"{base}/mixed/more")
+    with pytest.raises(ValueError, match="both"):
+        files.scan_any(spark, f"{base}/mixed")
+    files.write_landing_csv(events, f"{base}/csv")
+    events.write.parquet(f"{base}/csv/_temporary/0")
+    assert files.scan_any(spark, f"{base}/csv").count() == 1

@@ -102,3 +102,36 @@ def test_command_line(spark, lake):
     assert main(["check", "--path", f"{lake}/nowhere"]) == 1
     land(lake, "2024-01-02", "-3,apnea,2024-01-02T22:30:00.000Z,c")
     assert main(["run-day", "--base", lake, "--date", "2024-01-02"]) == 1
+
+
+def test_unreadable_values_stop_at_the_gate(spark, base):
+    land(base, "2024-01-01", "abc,apnea,not a time,a", "1,2,3", "5,apnea,2024-01-01T22:00:00.000Z,a")
+    with pytest.raises(QualityGateError) as caught:
+        medallion.run_day(spark, base, "2024-01-01")
+    assert ("readable", "rejected_fields", 2) in caught.value.failures
+    assert not Path(base, "gold").exists()
+    listed = {tuple(r.rejected_fields) for r in spark.read.parquet(f"{base}/silver/events").collect()}
+    assert ("duration_sec", "study_datetime") in listed and () in listed
+
+
+def test_unreadable_values_may_be_let_through(spark, base):
+    land(base, "2024-01-01", "abc,apnea,2024-01-01T22:00:00.000Z,a")
+    medallion.backfill(spark, base, "2024-01-01", "2024-01-01", unreadable_ok=True)
+    assert gold(spark, base) == [("2024-01-01", "a", "2024-01-01", 1, 1)]
+
+
+def test_rows_without_a_day_stop_the_run(spark, lake):
+    folder = Path(lake, "raw", "events", "dt=__HIVE_DEFAULT_PARTITION__")
+    folder.mkdir()
+    (folder / "part-0.csv").write_text(HEADER + "1,apnea,,x\n")
+    with pytest.raises(QualityGateError, match="dated"):
+        medallion.run_day(spark, lake, "2024-01-01")
+    medallion.backfill(spark, lake, "2024-01-01", "2024-01-01", undated_ok=True)
+    assert gold(spark, lake) == DAY_1
+
+
+def test_offsets_move_the_date(spark, base):
+    land(base, "2024-01-01", "10,apnea,2024-01-01T23:30:00-05:00,a")
+    medallion.run_day(spark, base, "2024-01-01")
+    row = spark.read.parquet(f"{base}/silver/events").first()
+    assert (row.study_datetime, row.event_date) == (datetime(2024, 1, 2, 4, 30), date(2024, 1, 2))

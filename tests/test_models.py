@@ -115,3 +115,24 @@ def test_bucketed_facts_join_without_a_shuffle(spark, databases, base):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_unreadable_files_are_not_loaded(spark, databases, base):
+    raw, _ = databases
+    with open(f"{base}/events.csv", "a") as out:
+        out.write("abc,apnea,2024-01-02T01:00:00.000Z,a\n")
+    with pytest.raises(tables.UnreadableInput, match="duration_sec: 1"):
+        load(spark, base, raw)
+    assert spark.table(f"{raw}.events").count() == 0
+    tables.load_csv(spark, base, f"{raw}.events", EVENT_SCHEMA, file_pattern=".*events.*", unreadable_ok=True)
+    assert spark.table(f"{raw}.events").count() == 3
+
+
+def test_marts_that_fail_their_tests_keep_the_old_ones(spark, databases, base, monkeypatch):
+    raw, mart = databases
+    load(spark, base, raw)
+    models.run(spark, raw, mart)
+    spark.sql(f"INSERT INTO {raw}.sleep_studies VALUES ('c', DATE '2024-01-01', 10, 300, 50, 50, '71+', 'M', NULL)")
+    with pytest.raises(QualityGateError, match="stage_sum"):
+        models.run(spark, raw, mart)
+    assert spark.table(f"{mart}.fct_sleep_summary").count() == 2

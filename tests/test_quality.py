@@ -1,11 +1,15 @@
+from pathlib import Path
+
 import pytest
 
+
 from studymart.contracts import (
     EVENT_SCHEMA,
     EVENT_TYPES,
     REQUIRED_EVENT_COLUMNS,
     STUDY_SCHEMA,
 )
+from studymart import contracts
 from studymart.operators import quality
 from studymart.operators.marts import fct_sleep_summary
 
@@ -88,3 +92,16 @@ def test_check_path(spark, frame, base):
     assert quality.check_path(spark, f"{base}/csv")
     assert not quality.check_path(spark, f"{base}/bad")
     assert not quality.check_path(spark, f"{base}/absent")
+
+
+def test_unreadable_csv_fails_the_path_check(spark, base):
+    Path(base, "e.csv").write_text("duration_sec,event_type,study_datetime,study_id\nabc,apnea,2024-01-01T22:00:00.000Z,a\n")
+    assert not quality.check_path(spark, base)
+
+
+def test_null_markers_count_alike_in_contract_and_types(frame):
+    df = frame([("NULL", "apnea", "null", ""), ("a", "", "x", "2024-01-01 00:00:00")], "study_id string, event_type string, duration_sec string, study_datetime string")
+    rules = quality.contract_rules(contracts.EVENT_SCHEMA, contracts.REQUIRED_EVENT_COLUMNS, "events")
+    got = {(r.rule, r.column_name): r.violations for r in quality.rule_report(df, rules).collect()}
+    assert got[("events.required", "study_id")] == 1 and got[("events.required", "event_type")] == 1
+    assert got[("events.number", "duration_sec")] == 1 and got[("events.timestamp_ntz", "study_datetime")] == 0

@@ -57,3 +57,14 @@ def test_bad_lines_are_kept_in_sight(spark, base):
     ingest(spark, base, rejects="rejected")
     got = loaded(spark, f"{base}/events", EVENT_SCHEMA, "rejected").collect()
     assert sorted(r.rejected for r in got) == [[], ["_corrupt_record"], ["duration_sec"]]
+
+
+def test_a_second_source_adds_rows(spark, base):
+    assert loaded(spark, f"{base}/events", EVENT_SCHEMA).count() == 0
+    for name in ("one", "two"):
+        folder = Path(base, name)
+        folder.mkdir()
+        (folder / "f.csv").write_text(f"duration_sec,event_type,study_datetime,study_id\n1,apnea,2024-01-01T22:00:00.000Z,{name}\n")
+        for _ in range(2):
+            ingest_once(spark, str(folder), f"{base}/events", f"{base}/check-{name}", EVENT_SCHEMA)
+    assert sorted(r.study_id for r in loaded(spark, f"{base}/events", EVENT_SCHEMA).collect()) == ["one", "two"]
