@@ -29,8 +29,9 @@ from studymart.session import materialise
 SAMPLE_ROWS = 20_000
 #: Bytes of the ordinary dictionary's words, and of the toxic words added to it.
 ORDINARY_BYTES, TOXIC_BYTES = 1 << 17, 1 << 16
-#: A toxic word is in so many toxic documents, and so many times likelier there than in ordinary ones.
-LEAST_DOCUMENTS, LEAST_RATIO = 4, 4.0
+#: A toxic word is in so many of the toxic documents, by number and by share, and so many times
+#: likelier there than in ordinary ones.
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO = 4, 0.02, 4.0
 LEVEL = 13
 #: Texts scoring as much are predicted toxic.
 THRESHOLD = 0.3
@@ -164,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # The commonest words alone can enter the dictionaries, so no more are fetched.
     plain = counted.filter("ordinary > 0").orderBy(F.desc("ordinary"), "word").limit(ORDINARY_BYTES // 2).collect()
     rate = F.col("toxic") / n_toxic > LEAST_RATIO * (F.col("ordinary") + 1) / n_ordinary
-    marked = counted.filter(rate & (F.col("toxic") >= LEAST_DOCUMENTS))
+    marked = counted.filter(rate & (F.col("toxic") >= max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic)))
     marked = marked.orderBy(F.desc("toxic"), "word").limit(TOXIC_BYTES // 2).collect()
     ordinary = _content(Counter({r["word"]: r["ordinary"] for r in plain}), ORDINARY_BYTES)
     toxic = _content(Counter({r["word"]: r["toxic"] for r in marked}), TOXIC_BYTES)
