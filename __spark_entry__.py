@@ -208,6 +208,13 @@ def hypnogram(spark, sf, subject_id=None):
     return signals.hypnogram(materialise(features, "signal_features"), subject_id)
 
 
+def hypnogram_timed(spark, sf):
+    """The hypnogram with the time of each epoch."""
+    epochs = sample_view(spark, sf, "signal_epochs_timed")
+    epochs = epochs.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return signals.hypnogram(materialise(signals.band_power(epochs, SIGNAL_RATE_HZ), "timed_features"))
+
+
 # --- Checks -------------------------------------------------------------------
 
 
@@ -322,6 +329,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spectral_share": lambda s, d: signals.spectral_share(_analytics(s, d)),
     "hypnogram": hypnogram,
     "hypnogram_subject": lambda s, d: hypnogram(s, d, SUBJECT),
+    "hypnogram_timed": hypnogram_timed,
     "spectral_subject": lambda s, d: signals.spectral_share(
         _analytics(s, d).where(F.col("subject_id") == SUBJECT)
     ),
@@ -648,6 +656,9 @@ def _signal_sql() -> dict[str, str]:
             FROM features ORDER BY subject_id, epoch_id""",
     }
     plain["hypnogram_subject"] = f"SELECT * FROM ({plain['hypnogram']}) WHERE subject_id = '{SUBJECT}'"
+    plain["hypnogram_timed"] = f"""
+        SELECT h.*, t.timestamp FROM ({plain["hypnogram"]}) h JOIN ({sql_text("signal_epochs_timed")}) t
+        ON h.epoch_id = t.epoch_id"""
     plain["spectral_subject"] = f"SELECT * FROM ({plain['spectral_share']}) WHERE subject_id = '{SUBJECT}'"
     return {name: _over(_SIGNAL_CTES, select) for name, select in plain.items()}
 

@@ -98,6 +98,10 @@ SELECT concat('PHYS_', lpad(CAST(vec_id % 5 AS STRING), 3, '0')) AS subject_id,
        embedding AS samples
 FROM {embeddings}
 """
+# Epochs with the time they begin; one a day, so that both engines write it alike.
+SIGNAL_EPOCHS_TIMED = """
+SELECT e.*, CAST(DATE '2024-01-01' + CAST(epoch_id % 300 AS INT) AS TIMESTAMP) AS timestamp FROM ({signal_epochs}) e
+"""
 SIGNAL_RATE_HZ = 128.0
 
 TEXTS = {
@@ -110,6 +114,7 @@ TEXTS = {
     "raw_studies_repeated": RAW_STUDIES_REPEATED,
     "raw_events_offsets": RAW_EVENTS_OFFSETS,
     "signal_epochs": SIGNAL_EPOCHS,
+    "signal_epochs_timed": SIGNAL_EPOCHS_TIMED,
 }
 # The columns used, declared so that no job has to look into a file for them.
 BASE_TABLES = {
@@ -120,19 +125,22 @@ BASE_TABLES = {
 }
 
 
+def _text(name: str) -> str:
+    """A view's text, the views below it put in."""
+    text = TEXTS[name]
+    for below in ("raw_sleep_studies", "signal_epochs"):
+        text = text.replace(f"{{{below}}}", TEXTS[below])
+    return text
+
+
 def sql_text(name: str) -> str:
     """A view's SQL over the bare table names."""
-    text = TEXTS[name]
-    if "{raw_sleep_studies}" in text:
-        text = text.replace("{raw_sleep_studies}", TEXTS["raw_sleep_studies"])
-    return text.format(**{t: t for t in BASE_TABLES})
+    return _text(name).format(**{t: t for t in BASE_TABLES})
 
 
 def sample_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A view over the Parquet tables of a folder."""
-    text = TEXTS[name]
-    if "{raw_sleep_studies}" in text:
-        text = text.replace("{raw_sleep_studies}", TEXTS["raw_sleep_studies"])
+    text = _text(name)
     used = {
         table: spark.read.schema(columns).parquet(f"{folder}/{table}.parquet")
         for table, columns in BASE_TABLES.items()
