@@ -38,7 +38,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, by sequence; the ids themselves as a digest."""
-    pieces = packing.pack(docs)
+    pieces = packing.pack(docs, added=packing.added_tokens())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -8,6 +8,7 @@ backtracked counts. At the end of a task the last windows are filled by cutting.
 
 import base64
 import functools
+import json
 import re
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator
@@ -20,8 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The ranks of the vocabulary that byte_bpe_50k.json holds for another library.
+#: The ranks of the vocabulary, and the file of the same vocabulary that also tells its added tokens.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+DEFINITION = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 2048
 END_ID = 1
 #: Tokens that a task gathers before it packs them; bounds its memory.
@@ -48,14 +50,25 @@ _LOOK_AHEAD = r"|\s+(?!\S)"
 _TWO_BLANKS = re.compile(r"\s\s")
 
 
+def added_tokens(path: str = DEFINITION) -> dict[str, int]:
+    """The strings that the tokenizer of the file takes out of a text before it splits it, and their ids."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    for token in found:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"an added token that isn't matched as it stands: {token}")
+    return {token["content"]: token["id"] for token in found}
+
+
 class Encoder:
     """Texts to their ids as little-endian unsigned 32-bit integers.
 
-    Texts without adjacent blanks take the pattern without its look-ahead branch, which gives the
-    same ids there and lets a faster matcher run.
+    Texts are cut at the added tokens, of those that start together at the longest; each piece between
+    is encoded by itself. Pieces without adjacent blanks take the pattern without its look-ahead
+    branch, which gives the same ids there and lets a faster matcher run.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: tuple[tuple[str, int], ...] = ()):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         full = public_tokenizers.PATTERN
@@ -64,14 +77,24 @@ class Encoder:
             for name, pattern in (("full", full), ("plain", full.replace(_LOOK_AHEAD, "")))
         )
 
+        self.added = {content: np.array([i], "<u4").tobytes() for content, i in added}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+
     def ids(self, text: str) -> bytes:
+        if self.cuts is None:
+            return self._ranked(text)
+        pieces = self.cuts.split(text)
+        return b"".join(self.added[x] if i % 2 else self._ranked(x) for i, x in enumerate(pieces))
+
+    def _ranked(self, text: str) -> bytes:
         tokens = self.full if _TWO_BLANKS.search(text) else self.plain
         return np.array(tokens.encode_ordinary(text), "<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, added: tuple[tuple[str, int], ...] = ()) -> Encoder:
+    return Encoder(path, added)
 
 
 def fullest(lengths: list[int], count: Callable[[int], int], capacity: int) -> dict[int, int]:
@@ -186,18 +209,22 @@ def pack(
     capacity: int = CAPACITY,
     vocabulary: str = VOCABULARY,
     end_id: int = END_ID,
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece of a document (``SCHEMA``; ``ids`` are little-endian unsigned 32-bit).
 
     A document is the ids of its text and then ``end_id``; a null text counts as empty, a null id
     stays null, repeated rows are packed as often as they occur, an empty table gives no rows.
-    Strings of special tokens are ordinary text. Pieces of a sequence follow each other gaplessly
-    by ``offset``. Sequence ids are unique and, for the same input splits, the same in every run.
+    Strings of ``added`` get their one id wherever they stand, as ``tokenizers`` gives it with those of
+    ``added_tokens``; by default there are none, and strings of special tokens are ordinary text.
+    Pieces of a sequence follow each other gaplessly by ``offset``. Sequence ids are unique and, for the same input splits, the same in every run.
     Memory: a block of tokens, plus the longest single document.
     """
 
+    special = tuple((added or {}).items())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        words, end = encoder(vocabulary, special), np.array([end_id], "<u4").tobytes()
         packer, tokens = Packer(TaskContext.get().partitionId(), capacity), 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -18,7 +18,7 @@ def op1_decontamination(spark, sf_dir):
 
 def op2_packing(spark, sf_dir):
     """Pieces of all documents in sequences of at most 2048 tokens."""
-    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    pieces = packing.pack(table(spark, sf_dir, "documents"), added=packing.added_tokens())
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

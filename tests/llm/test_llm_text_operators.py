@@ -42,6 +42,32 @@ def test_pieces_hold_every_token_once(docs):
         assert {r.doc_tokens for r in rows if r.doc_id == doc} == {len(ids) // 4}
 
 
+def test_added_tokens_get_their_ids(spark, tmp_path):
+    import corpus_pipeline
+    from studymart.llm import queries
+
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"a  {end}  b\n\n{end}\t", f"x{end}y", "<|endoftext|", f"<|{end}|>", f"{'w ' * 3000}{end} é", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole = [np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for t in texts]
+    assert whole[0].tolist() == [64, 220, 50256, 275, 1]
+    for pieces in (queries.op2_packing(spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, docs, str(tmp_path))):
+        rows, length = pieces.collect(), {}
+        for r in rows:
+            ids = whole[r.doc_id]
+            assert r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+            length[r.doc_id] = length.get(r.doc_id, 0) + r.length
+        assert length == {i: len(ids) for i, ids in enumerate(whole)}
+
+
+def test_longest_added_token_wins():
+    words = packing.Encoder(packing.VOCABULARY, (("<a", 1), ("<a>", 2)))
+    assert np.frombuffer(words.ids("<a><a"), "<u4").tolist() == [2, 1]
+
+
 def test_crc_is_that_of_the_ids(docs):
     from pyspark.sql import functions as F
 
