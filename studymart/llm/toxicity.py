@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are built from labelled texts: one of the words of ordinary documents,
-and one that also has words that recur in toxic documents and are much rarer in ordinary ones. A
-window, one word between its blanks, is compressed with both. What the toxic dictionary saves is its
+and one that also has words that recur in toxic documents and are much rarer in ordinary ones, by
+more than chance allows; documents that are near copies of each other count once for that. A window, one word between its blanks, is compressed with both. What the toxic dictionary saves is its
 distance, and figures of a document's distances are turned into a chance by a logistic model that
 was calibrated on labelled documents that the dictionaries haven't seen.
 
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +30,9 @@ from studymart.session import materialise
 SAMPLE_ROWS = 20_000
 #: Bytes of the ordinary dictionary's words, and of the toxic words added to it.
 ORDINARY_BYTES, TOXIC_BYTES = 1 << 17, 1 << 16
-#: A toxic word is in so many of the toxic documents, by number and by share, and so many times
-#: likelier there than in ordinary ones.
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO = 4, 0.02, 4.0
+#: A toxic word is so many times likelier in toxic documents than in ordinary ones, and the
+#: log-likelihood ratio of its counts is at least that of a one-sided chance of 1 in 10,000.
+LEAST_RATIO, LEAST_EVIDENCE = 4.0, 13.83
 LEVEL = 13
 #: Texts scoring as much are predicted toxic.
 THRESHOLD = 0.3
@@ -40,12 +41,35 @@ CACHED_WORDS, CACHED_LENGTH = 400_000, 48
 _WORD = re.compile(r"[^\W\d_]+")
 _HEAD, _TAIL = b"0123456789" * 7, b"~" * 12
 FEATURES = 7
+#: Words of a shingle, and the odd factors of the hashes whose smallest values tell near copies.
+SHINGLE = 3
+_FACTORS = np.random.default_rng(1).integers(0, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
 
 
 def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def signature(found: list[str]) -> np.ndarray:
+    """Smallest hashes of the shingles of a text, one for each factor: near copies have most in common."""
+    starts = range(max(1, len(found) - SHINGLE + 1))
+    hashes = np.array([xxhash.xxh64_intdigest(" ".join(found[i : i + SHINGLE])) for i in starts], np.uint64)
+    mixed = hashes[:, None] * _FACTORS
+    return ((mixed ^ mixed >> np.uint64(32)) * _FACTORS).min(0).view(np.int64)
+
+
+def evidence(toxic: Column, ordinary: Column, n_toxic: int, n_ordinary: int) -> Column:
+    """Log-likelihood ratio of a word's document counts against equal rates on both sides."""
+    found, n = toxic + ordinary, n_toxic + n_ordinary
+    cells = [
+        (toxic, found * n_toxic / n),
+        (ordinary, found * n_ordinary / n),
+        (n_toxic - toxic, (n - found) * n_toxic / n),
+        (n_ordinary - ordinary, (n - found) * n_ordinary / n),
+    ]
+    return 2 * sum(F.when(x > 0, x * F.log(x / expected)).otherwise(0.0) for x, expected in cells)
+
+
 def _content(counts: Counter, most: int) -> bytes:
     """Words by falling count, as many as fit; the commonest last, where they are cheapest to refer to."""
     chosen, size = [], 1
@@ -132,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     ``part`` gives a label row's part, by default the CRC-32 of its id as text, modulo 4. Part 2 is
     held out. A bounded sample of the labelled documents is read; only its distinct words and
-    figures reach the driver. Labels of an id that contradict each other count as toxic.
+    figures reach the driver. A word that only near copies of one text hold isn't learned. Labels of an id that contradict each other count as toxic.
     """
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 if part is None else part
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -164,8 +188,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n_toxic, n_ordinary = max(sizes.get(1, 0), 1), max(sizes.get(0, 0), 1)
     # The commonest words alone can enter the dictionaries, so no more are fetched.
     plain = counted.filter("ordinary > 0").orderBy(F.desc("ordinary"), "word").limit(ORDINARY_BYTES // 2).collect()
-    rate = F.col("toxic") / n_toxic > LEAST_RATIO * (F.col("ordinary") + 1) / n_ordinary
-    marked = counted.filter(rate & (F.col("toxic") >= max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic)))
+    rate = F.col("toxic") / n_toxic > LEAST_RATIO * F.col("ordinary") / n_ordinary
+    sure = rate & (evidence(F.col("toxic"), F.col("ordinary"), n_toxic, n_ordinary) >= LEAST_EVIDENCE)
+    likely = counted.filter(sure)
+    candidates = frozenset(r["word"] for r in likely.select("word").collect())
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text in batch.column(0):
+                found = words(text.as_py())
+                if held := candidates.intersection(found):
+                    own = signature(found)
+                    rows += [(w, own) for w in held]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in rows], pa.string()), pa.array([x for _, x in rows], pa.list_(pa.int64()))],
+                ["word", "signature"],
+            )
+
+    # A word's toxic documents once more, near copies as one: the fewest values that any hash takes in them.
+    holders = base.filter("y = 1").select("text").mapInArrow(signed, "word string, signature array<long>")
+    values = [F.size(F.collect_set(F.get("signature", F.lit(i)))) for i in range(len(_FACTORS))]
+    apart = holders.groupBy("word").agg(F.least(*values).cast("long").alias("toxic"))
+    marked = apart.join(likely.select("word", "ordinary"), "word").filter(sure)
     marked = marked.orderBy(F.desc("toxic"), "word").limit(TOXIC_BYTES // 2).collect()
     ordinary = _content(Counter({r["word"]: r["ordinary"] for r in plain}), ORDINARY_BYTES)
     toxic = _content(Counter({r["word"]: r["toxic"] for r in marked}), TOXIC_BYTES)

@@ -141,3 +141,27 @@ def test_toxic_texts_are_told(judged):
     assert toxicity.toxicity(docs.limit(0), model).count() == 0
     even = {r.score for r in toxicity.toxicity(docs, toxicity.fit(docs, labels.limit(0))).collect()}
     assert len(even) == 1
+
+
+def test_rare_sure_words_are_learned_and_words_of_copies_are_not(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    text = lambda: ["".join(rng.choices("abcdefgh", k=3)) for _ in range(40)]
+    copied, docs, labels = text() + ["zqcopied"], [], []
+    for i in range(1500):
+        words = text()
+        if i < 5:  # a minority's word: in 5 of 300 toxic documents, in no other
+            words.insert(20, "bomente")
+        elif i < 17:  # near copies of one document
+            words = copied[: i + 20] + ["edited"] + copied[i + 20 :]
+        elif i < 300:
+            words.insert(20, "zzmoron")
+        docs.append((i, " ".join(words), "es", "", ""))
+        labels.append((i, 1, int(i < 300)))
+    docs = spark.createDataFrame(docs, DOCS)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, part=F.col("doc_id") % 2)
+    assert b" zzmoron " in model.toxic
+    assert b" bomente " in model.toxic
+    assert b" zqcopied " not in model.toxic
