@@ -1,9 +1,25 @@
 """The registered queries of the corpus operators, each over its whole table, and their SQL."""
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studymart.llm import chat, decontamination, packing, quality, simhash, suffix, token_counts, topk, toxicity, warc
+from studymart.llm import (
+    chat,
+    decontamination,
+    packing,
+    periodic_runs,
+    quality,
+    simhash,
+    spelling,
+    suffix,
+    token_counts,
+    token_files,
+    topk,
+    toxicity,
+    warc,
+)
 from studymart.session import scratch_path
 
 
@@ -99,6 +115,56 @@ def op10_suffix(spark, sf_dir):
     )
 
 
+def op11_spelling(spark, sf_dir):
+    """Near words, form and root of the words of all documents, with variants planted by document and word."""
+    counts = spelling.word_counts(table(spark, sf_dir, "documents"), altered=spelling.planted_variants)
+    return spelling.variants(counts)
+
+
+def _repeat_from_somewhere(doc: int | None, words: list) -> list:
+    """In a tenth of the documents, the words from some place on repeat the first of them."""
+    n, h = len(words), zlib.crc32(str(doc).encode())
+    if doc is None or h % 10 or not n:
+        return words
+    g = h // 10
+    at = g % n
+    period = 1 + (n - at) // (3 + g % 8)
+    unit = words[at : at + period]
+    return words[:at] + (unit * -(-(n - at) // period))[: n - at]
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """Digests of the runs of all documents, their longest run by periods, and the text without repeats."""
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), altered=_repeat_from_somewhere)
+    line = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    line = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+
+    def more(a, b):  # the runs come by start, then period
+        left, right = a["length"] * b["period"], b["length"] * a["period"]
+        return F.when(a["period"].isNull() | (right > left), b).otherwise(a)
+
+    none = F.struct(*(F.lit(None).cast("long").alias(c) for c in ("start", "length", "period")))
+    best = found.withColumn("best", F.aggregate("runs", none, more))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(line, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_token_files(spark, sf_dir):
+    """All documents as they are read back from the files of their token ids."""
+    folder = scratch_path(spark, "token_files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder)
+    rows = token_files.read_token_files(spark, folder)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -110,6 +176,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
     "op10_suffix": op10_suffix,
+    "op11_spelling": op11_spelling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_files": op13_token_files,
 }
 
 #: DuckDB text for the queries that SQL can express.
