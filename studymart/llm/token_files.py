@@ -14,8 +14,7 @@ import struct
 import sys
 import uuid
 from array import array
-from collections.abc import Iterator
-from itertools import pairwise
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -34,10 +33,10 @@ END_ID = 1
 RANGE_BYTES = 64 << 20
 #: A task begins a new file after so many bytes of ids, or so many documents.
 ROLL_BYTES, ROLL_DOCUMENTS = 256 << 20, 1 << 20
-#: Words whose ids a worker remembers, and the longest it does so for.
-REMEMBERED, REMEMBERED_LENGTH = 500_000, 40
-#: New words that are encoded in one call, and characters of the texts that are looked up together.
-LEARNED_TOGETHER, TEXT_TOGETHER = 2000, 1 << 20
+#: Pieces and words whose ids a worker remembers, twice so many at most, and the longest it does so for.
+REMEMBERED, REMEMBERED_WORDS, REMEMBERED_LENGTH = 200_000, 50_000, 40
+#: Characters of the texts that are encoded together.
+TEXT_TOGETHER = 1 << 20
 #: The normalizer and cut that ``WordEncoder`` knows, as the tokenizer's file states them.
 KNOWN_CUT = [
     {
@@ -61,12 +60,10 @@ KNOWN_CUT = [
         ],
     },
 ]
-#: Characters whose lower case, composition and letters need no tables, the tokenizer's pattern over
-#: them, and the blanks that pieces lie between.
-_SIMPLE, _BLANKS = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", " \t-\r"
+#: Characters whose lower case, composition and letters need no tables, and the tokenizer's pattern over them.
+_SIMPLE = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
-_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9{_BLANKS}]+")
-_PIECES = re.compile(f"[^{_BLANKS}]+")
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 
 #: Lines of the manifest that one prefix sum goes over; sums of such groups make the next level.
 SUM_GROUP = 4096
@@ -106,58 +103,58 @@ class TextEncoder:
         return [np.array(e.ids, self.type).tobytes() for e in found]
 
 
+class Remembered(dict):
+    """Keys to what ``make`` gives for them, in bounded memory: two generations, the older goes when one is full."""
+
+    def __init__(self, make: Callable, most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > REMEMBERED_LENGTH:
+                return value
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordEncoder(TextEncoder):
-    """The same ids for tokenizers that cut like ``KNOWN_CUT``, with the ids of words remembered.
+    """The same ids for tokenizers that cut like ``KNOWN_CUT``, with the ids of pieces and words remembered.
 
     The tokenizer drops blanks; none of its patterns or added tokens reaches over one and no
     character composes with one. So the ids of a text are those of the pieces between blanks, one
     after the other. Pieces of ASCII and precomposed Latin letters are cut into the tokenizer's own
-    words, and words not seen before are encoded many in one call; other pieces are encoded whole.
+    words, which go straight to its model; other pieces are encoded whole.
     """
 
     def __init__(self, path: str):
+        from tokenizers.pre_tokenizers import ByteLevel
+
         super().__init__(path)
-        self.words: dict[str, bytes] = {}
+        self.pieces, self.words = Remembered(self._piece, REMEMBERED), Remembered(self._word, REMEMBERED_WORDS)
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([f"[^{_SIMPLE}{_BLANKS}]", *added]))
-
-    def _cut(self, text: str, odd: set[str]) -> list[str]:
-        if not self.odd.search(text):
-            return _WORDS.findall(text.lower())
-        found = []
-        for piece in _PIECES.findall(text):
-            if self.odd.search(piece):
-                # no word of a simple piece begins with a blank
-                found.append(" " + piece)
-                odd.add(found[-1])
-            else:
-                found += _WORDS.findall(piece.lower())
-        return found
-
-    def _learn(self, new: list[str]) -> None:
-        for i in range(0, len(new), LEARNED_TOGETHER):
-            some = new[i : i + LEARNED_TOGETHER]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, ends = np.array(found.ids, self.type), np.flatnonzero(np.diff(np.array(found.word_ids))) + 1
-            cut = [0, *(self.width * ends).tolist(), self.width * len(ids)]
-            data = ids.tobytes()
-            for word, (first, last) in zip(some, pairwise(cut), strict=True):
-                self.words[word] = data[first:last]
+        self.odd = re.compile("|".join([f"[^{_SIMPLE}]", *added]))
+        self.model = self.tokenizer.model
+        # How the tokenizer spells the bytes of a letter for its model; ASCII is as it is.
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {code: spelled(chr(code))[0][0] for code in range(0xC0, 0x100)}
+
+    def _word(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word if word.isascii() else word.translate(self.spelling))
+        return np.array([t.id for t in tokens], self.type).tobytes()
+
+    def _piece(self, piece: bytes) -> bytes:
+        text = piece.decode()
+        if self.odd.search(text):
+            return super().encode([text])[0]
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(text.lower())))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        odd: set[str] = set()
-        cut = [self._cut(text, odd) for text in texts]
-        new = set().union(*cut).difference(self.words)
-        self._learn(list(new - odd))
-        whole = list(new & odd)
-        self.words.update(zip(whole, super().encode([piece[1:] for piece in whole])))
-        out = [b"".join(map(self.words.__getitem__, found)) for found in cut]
-        for word in new:
-            if len(word) > REMEMBERED_LENGTH:
-                del self.words[word]
-        return out
+        return [b"".join(map(self.pieces.__getitem__, text.encode().split())) for text in texts]
 
 
 def width_of(vocabulary_size: int) -> int:
