@@ -28,10 +28,12 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     check = commands.add_parser("check", help="check stored events")
     check.add_argument("--path", required=True)
 
-    load = commands.add_parser("load", help="append landed CSV files to a raw table")
+    load = commands.add_parser("load", help="load landed CSV files that a raw table has not loaded")
     load.add_argument("--database", required=True)
     load.add_argument("--table", required=True, choices=sorted(RAW_SCHEMAS))
     load.add_argument("--path", required=True)
+    load.add_argument("--changed", choices=["raise", "skip", "append"], default="raise", help="files loaded in an older state")
+    load.add_argument("--force", action="store_true", help="load files again that were loaded")
 
     build = commands.add_parser("models", help="build and test the marts from the raw tables")
     build.add_argument("--raw-database", required=True)
@@ -51,7 +53,8 @@ def main(argv: list[str] | None = None) -> int:
             backfill(spark, args.base, args.start, args.end, args.missing_ok)
         elif args.command == "load":
             create_raw_tables(spark, args.database)
-            load_csv(spark, args.path, f"{args.database}.{args.table}", RAW_SCHEMAS[args.table])
+            table, schema = f"{args.database}.{args.table}", RAW_SCHEMAS[args.table]
+            load_csv(spark, args.path, table, schema, changed=args.changed, force=args.force)
         elif args.command == "models":
             models.run(spark, args.raw_database, args.database, args.buckets)
         elif not check_path(spark, args.path):

@@ -33,6 +33,25 @@ def fct_event_rates(
     )
 
 
+def rate_states(events: DataFrame, type_column: str, keys: Sequence[str]) -> DataFrame:
+    """What events add to their rates: counts, the sum of durations and how many there are.
+
+    States of parts of the events merge by `rates_of_states` into the rates of all.
+    """
+    return events.groupBy(*keys).agg(
+        *event_counts(F.col(type_column)),
+        F.sum("duration_sec").alias("duration_sum"),
+        F.count("duration_sec").alias("durations"),
+    )
+
+
+def rates_of_states(states: DataFrame, keys: Sequence[str] = ("study_id", "event_date")) -> DataFrame:
+    """`fct_event_rates` from the states of its parts."""
+    counts = ["total_events", *[f"{kind}_count" for kind in KEPT_EVENT_TYPES]]
+    mean = F.sum("duration_sum") / F.nullif(F.sum("durations"), F.lit(0).cast("long"))
+    return states.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts], mean.alias("avg_event_duration_sec"))
+
+
 def fct_sleep_summary(studies: DataFrame) -> DataFrame:
     """Studies with the REM share in percent; NULL for a night without sleep."""
     return studies.select(

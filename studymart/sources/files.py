@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from studymart.contracts import DAY, EVENT_SCHEMA, NULL_TOKENS, landing_columns
 from studymart.functions import null_if_token, try_read
+from studymart.sources import records
 
 CORRUPT = "_corrupt_record"
 DAY_FOLDER = re.compile(DAY + r"=(\d{4}-\d{2}-\d{2})")
@@ -113,12 +114,14 @@ def scan_csv_text(
     glob: str | None = None,
     file_pattern: str | None = None,
     base_path: str | None = None,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """CSV with a header line, every column as text, malformed lines kept in a side column.
 
     Columns go by the names in the header, never by position: the header is read from the
     files unless given, and a file whose header differs fails the scan. ``glob`` chooses
-    files by name, ``file_pattern`` by a regular expression on their paths.
+    files by name, ``file_pattern`` by a regular expression on their paths. With ``line_breaks``
+    quoted fields may hold them (see `studymart.sources.records`); without, a line is a record.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("header", True).option("escape", '"')
@@ -129,6 +132,8 @@ def scan_csv_text(
     chosen = F.col("_metadata.file_path").rlike(file_pattern) if file_pattern else None
     try:
         names = list(header) if header else _header(reader, paths, chosen)
+        if line_breaks and (broken := records.split_records(spark, paths, names, glob, file_pattern, base_path)):
+            return records.parsed(broken, names, CORRUPT)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
         # Pruning would hide missing or surplus fields from the malformed-line check.
         text = (

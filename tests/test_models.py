@@ -99,7 +99,10 @@ def test_command_line(spark, databases, base):
         assert main(["load", "--database", raw, "--table", table, "--path", path]) == 0
     assert main(["models", "--raw-database", raw, "--database", mart]) == 0
     assert spark.table(f"{mart}.fct_event_rates").count() == 1
-    assert main(["load", "--database", raw, "--table", "sleep_studies", "--path", f"{base}/studies.csv"]) == 0
+    again = ["load", "--database", raw, "--table", "sleep_studies", "--path", f"{base}/studies.csv"]
+    assert main(again) == 0
+    assert main(["models", "--raw-database", raw, "--database", mart]) == 0
+    assert main([*again, "--force"]) == 0
     assert main(["models", "--raw-database", raw, "--database", mart]) == 1
 
 
