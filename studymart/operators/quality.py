@@ -1,9 +1,12 @@
 """Declarative data-quality rules. Every report has columns (rule, column_name, violations)."""
 
+import logging
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,9 @@ from studymart.functions import null_if_token, try_read
 from studymart.sources.files import MissingInput, scan_any
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class RowRule:
     """A rule that one row can break on its own; ``violated`` maps the column to a condition."""
@@ -175,14 +181,15 @@ def require_counts(rules: Sequence[RowRule], counts: dict) -> None:
 def check_path(spark: SparkSession, path: str) -> bool:
     """Whether the events stored at a path (Parquet, or CSV as landed) satisfy the event rules.
 
-    Unreadable values and malformed lines of a CSV break them too.
+    Unreadable values and malformed lines of a CSV break them too. So does a path that can't be read:
+    nothing there, damaged files, or CSV and Parquet mixed; the log says which.
     """
     try:
         events = scan_any(spark, path, rejects=REJECTS)
-    except MissingInput:
-        return False
-    try:
         require(rule_report(events, [*EVENT_RULES, readable(REJECTS)]))
     except QualityGateError:
         return False
+    except (MissingInput, ValueError, PySparkException, Py4JError) as error:
+        log.warning("%s can't be read: %s", path, str(error).partition("\n")[0])
+        return False
     return True

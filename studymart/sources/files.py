@@ -252,6 +252,8 @@ def _landing_writer(df: DataFrame) -> DataFrameWriter:
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)  # else the writer trims texts
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", LANDED_TIME_FORMAT)
     )
 

@@ -70,6 +70,20 @@ SELECT CASE event_id % 9 WHEN 0 THEN 'NULL' ELSE concat('STUDY_', lpad(CAST(user
 FROM {events}
 """
 
+# Events without zero durations, which are missing here: these pass the rules at every scale.
+RAW_EVENTS_MEASURED = """
+SELECT study_id, event_type, nullif(duration_sec, 0) AS duration_sec, study_datetime FROM ({raw_events}) e
+"""
+
+# Text with line breaks, quotes and commas inside of fields.
+RAW_EVENTS_BREAKS = """
+SELECT CASE event_id % 4 WHEN 0 THEN concat('STUDY', chr(10), CAST(user_id AS STRING)) ELSE CAST(user_id AS STRING) END AS study_id,
+       CASE event_id % 5 WHEN 0 THEN concat('say "', event_type, '",', chr(10), chr(10), 'then') WHEN 1 THEN concat(chr(10), event_type)
+                         WHEN 2 THEN '","' ELSE event_type END AS event_type,
+       CAST(user_id AS DOUBLE) AS duration_sec, ts AS study_datetime
+FROM {events}
+"""
+
 # Studies that repeat their ids, on other and on equal days, and some without an id.
 RAW_STUDIES_REPEATED = """
 SELECT CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE concat('STUDY_', lpad(CAST(o_custkey AS STRING), 9, '0')) END AS study_id,
@@ -111,6 +125,8 @@ TEXTS = {
     "raw_events_dirty": RAW_EVENTS_DIRTY,
     "raw_studies_dirty": RAW_STUDIES_DIRTY,
     "raw_events_tokens": RAW_EVENTS_TOKENS,
+    "raw_events_measured": RAW_EVENTS_MEASURED,
+    "raw_events_breaks": RAW_EVENTS_BREAKS,
     "raw_studies_repeated": RAW_STUDIES_REPEATED,
     "raw_events_offsets": RAW_EVENTS_OFFSETS,
     "signal_epochs": SIGNAL_EPOCHS,
@@ -128,7 +144,7 @@ BASE_TABLES = {
 def _text(name: str) -> str:
     """A view's text, the views below it put in."""
     text = TEXTS[name]
-    for below in ("raw_sleep_studies", "signal_epochs"):
+    for below in ("raw_sleep_studies", "raw_events", "signal_epochs"):
         text = text.replace(f"{{{below}}}", TEXTS[below])
     return text
 

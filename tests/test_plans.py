@@ -15,6 +15,7 @@ SIGNAL_QUERIES = {"band_power", "signal_analytics", "spectral_long", "spectral_s
 WRITING_QUERIES = {
     "scan_csv_roundtrip", "csv_null_tokens", "csv_rejects", "partition_read", "medallion_gold", "medallion_rejects", "ingest_once",
     "hypnogram", "hypnogram_subject", "hypnogram_timed", "scan_any", "load_tables", "models_run",
+    "medallion_refreshed", "load_ledger", "csv_line_breaks",
 }
 
 

@@ -105,3 +105,21 @@ def test_null_markers_count_alike_in_contract_and_types(frame):
     got = {(r.rule, r.column_name): r.violations for r in quality.rule_report(df, rules).collect()}
     assert got[("events.required", "study_id")] == 1 and got[("events.required", "event_type")] == 1
     assert got[("events.number", "duration_sec")] == 1 and got[("events.timestamp_ntz", "study_datetime")] == 0
+
+
+def test_what_cannot_be_read_fails_the_check(spark, frame, base):
+    frame([("a", 1.0)], "study_id string, duration_sec double").write.parquet(f"{base}/good")
+    assert quality.check_path(spark, f"{base}/good")
+    damaged = Path(base, "damaged")
+    damaged.mkdir()
+    (damaged / "part-0.parquet").write_bytes(b"not a parquet file")
+    assert not quality.check_path(spark, str(damaged))
+    whole = next(Path(base, "good").glob("*.parquet")).read_bytes()
+    (damaged / "part-0.parquet").write_bytes(whole[: len(whole) // 2])
+    assert not quality.check_path(spark, str(damaged))
+    mixed = Path(base, "mixed")
+    mixed.mkdir()
+    (mixed / "a.parquet").write_bytes(whole)
+    (mixed / "b.csv").write_text("study_id\n1\n")
+    assert not quality.check_path(spark, str(mixed))
+    assert not quality.check_path(spark, f"{base}/nowhere")
