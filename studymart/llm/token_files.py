@@ -34,7 +34,7 @@ RANGE_BYTES = 64 << 20
 #: A task begins a new file after so many bytes of ids, or so many documents.
 ROLL_BYTES, ROLL_DOCUMENTS = 256 << 20, 1 << 20
 #: Pieces and words whose ids a worker remembers, twice so many at most, and the longest it does so for.
-REMEMBERED, REMEMBERED_WORDS, REMEMBERED_LENGTH = 200_000, 50_000, 40
+REMEMBERED, REMEMBERED_WORDS, REMEMBERED_LENGTH = 150_000, 50_000, 40
 #: Characters of the texts that are encoded together.
 TEXT_TOGETHER = 1 << 20
 #: The normalizer and cut that ``WordEncoder`` knows, as the tokenizer's file states them.
@@ -97,10 +97,15 @@ class TextEncoder:
         self.type = np.dtype(f"<u{width_of(self.tokenizer.get_vocab_size(with_added_tokens=True))}")
         self.width = self.type.itemsize
 
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; the texts lie in memory together."""
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.type).tobytes() for e in found]
+        return [self.pack(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def forget(self) -> None:
+        """Give back what a task remembered; its worker may idle for long."""
 
 
 class Remembered(dict):
@@ -136,19 +141,31 @@ class WordEncoder(TextEncoder):
 
         super().__init__(path)
         self.pieces, self.words = Remembered(self._piece, REMEMBERED), Remembered(self._word, REMEMBERED_WORDS)
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([f"[^{_SIMPLE}]", *added]))
+        self.added = self.tokenizer.get_added_tokens_decoder().values()
+        self.odd = re.compile("|".join([f"[^{_SIMPLE}]", *(re.escape(t.content) for t in self.added)]))
         self.model = self.tokenizer.model
         # How the tokenizer spells the bytes of a letter for its model; ASCII is as it is.
         spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {code: spelled(chr(code))[0][0] for code in range(0xC0, 0x100)}
+        # Whether letters, with one more character at their end, can't hold an added token.
+        self.letters_are_words = not any(re.fullmatch("[A-Za-z]*.", t.content) for t in self.added)
+
+    def forget(self) -> None:
+        for memory in (self.pieces, self.words):
+            memory.clear()
+            memory.older.clear()
 
     def _word(self, word: str) -> bytes:
         tokens = self.model.tokenize(word if word.isascii() else word.translate(self.spelling))
-        return np.array([t.id for t in tokens], self.type).tobytes()
+        return self.pack([t.id for t in tokens])
 
     def _piece(self, piece: bytes) -> bytes:
         text = piece.decode()
+        if self.letters_are_words and text.isascii():
+            if text.isalpha():
+                return self.words[text.lower()]
+            if text[:-1].isalpha() and "!" <= text[-1] <= "~":
+                return self.words[text[:-1].lower()] + self.words[text[-1]]
         if self.odd.search(text):
             return super().encode([text])[0]
         return b"".join(map(self.words.__getitem__, _WORDS.findall(text.lower())))
@@ -258,6 +275,7 @@ def write_token_files(
                     size = 0
         flush()
         out.close()
+        known.forget()
         columns = list(zip(*out.done)) or [()] * len(_MANIFEST)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MANIFEST)], schema=_MANIFEST)
 
