@@ -188,12 +188,13 @@ ORACLES = {
                    FROM documents),
         b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
               FROM benchmark),
-        ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-               FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
-        bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+        k AS (SELECT DISTINCT least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+        ds AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+               FROM d JOIN k ON len(w) >= k, unnest(range(1, len(w) - k + 2)) AS t(i)),
+        bs AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, array_to_string(w[i:i + 4], ' ') AS s
                FROM b, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
         n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
-        m AS (SELECT doc_id, item_id, count(*) AS n_matched FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+        m AS (SELECT doc_id, item_id, count(*) AS n_matched FROM ds JOIN bs USING (k, s) GROUP BY doc_id, item_id)
         SELECT doc_id, item_id, n_shingles, n_matched, n_matched / n_shingles AS containment
         FROM m JOIN n USING (item_id) WHERE n_matched >= ceil(n_shingles * 0.8 - 1e-9)""",
     "op3_chat": r"""

@@ -132,8 +132,8 @@ def _batch(columns: list, names: list[str], kinds: list[pa.DataType]) -> pa.Reco
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def _all_segments(rows: DataFrame, anchors_only: bool) -> DataFrame:
-    """(anchor) or (anchor, seg, doc, copy, start, n, at) of all documents; seg hashes the segment's bytes."""
+def _all_segments(rows: DataFrame) -> DataFrame:
+    """(anchor, seg, doc, copy, start, n, at) of all documents; seg hashes the segment's bytes."""
     digest = xxhash.xxh64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,12 +142,10 @@ def _all_segments(rows: DataFrame, anchors_only: bool) -> DataFrame:
             for doc, copy, data in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)):
                 data = data.as_py()
                 start, n, anchor, at = segments(data)
-                if anchors_only:
-                    out.append((anchor,))
-                else:
-                    ends = (start + n + (WINDOW - 1)).tolist()
-                    seg = np.fromiter((digest(data[a:b]) for a, b in zip(start.tolist(), ends)), np.uint64, len(start))
-                    out.append((anchor, seg.view(np.int64), np.full(len(start), doc), np.full(len(start), copy, np.int32), start, n, at))
+                ends = (start + n + (WINDOW - 1)).tolist()
+                view = memoryview(data)
+                seg = np.fromiter((digest(view[a:b]) for a, b in zip(start.tolist(), ends)), np.uint64, len(start))
+                out.append((anchor, seg.view(np.int64), np.full(len(start), doc), np.full(len(start), copy, np.int32), start, n, at))
                 have += len(start)
                 if have > 100_000:
                     yield flush(out)
@@ -159,9 +157,9 @@ def _all_segments(rows: DataFrame, anchors_only: bool) -> DataFrame:
         names = ["anchor", "seg", "doc", "copy", "start", "n", "at"]
         columns = [np.concatenate(c) for c in zip(*out)]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int16(), pa.int16()]
-        return _batch(columns, names[: len(columns)], kinds)
+        return _batch(columns, names, kinds)
 
-    kinds = "anchor long" if anchors_only else "anchor long, seg long, doc long, copy int, start long, n smallint, at smallint"
+    kinds = "anchor long, seg long, doc long, copy int, start long, n smallint, at smallint"
     return rows.select("doc", "copy", "data").mapInArrow(run, kinds)
 
 
@@ -379,9 +377,8 @@ def _repeats(pieces: pa.Table) -> pa.Table:
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """(doc, copy, start, n): runs of windows that occur at an earlier place too."""
-    twice = _all_segments(rows, True).groupBy("anchor").count().filter("count > 1")
-    twice = materialise(twice.select(F.col("anchor").alias("a")), "repeated_anchors")
-    found = _all_segments(rows, False)
+    found = materialise(_all_segments(rows), "segments")  # the texts are cut once
+    twice = found.groupBy("anchor").count().filter("count > 1").select(F.col("anchor").alias("a"))
     found = found.join(twice, found["anchor"] == twice["a"], "left_semi")
     found = materialise(found, "repeated_segments")
     place = F.struct("doc", "copy", "start")
