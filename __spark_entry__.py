@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studymart import contracts
-from studymart.operators import clinical, marts, quality, signals, staging
+from studymart.operators import clinical, declared, marts, quality, signals, staging
 from studymart.plans import medallion, models
 from studymart.session import materialise, scratch_path
 from studymart.sources import files, tables
@@ -284,6 +284,28 @@ def check_contract(spark, sf):
     )
 
 
+#: Column tests as users declare them.
+DECLARED_TESTS = {
+    "models": [
+        {"name": "stg_sleep_study", "columns": [{"name": "study_id", "tests": ["unique", "not_null"]}]},
+        {
+            "name": "stg_events",
+            "columns": [
+                {"name": "study_id", "tests": ["not_null"]},
+                {"name": "event_type", "tests": [{"accepted_values": {"values": list(contracts.EVENT_TYPES)}}]},
+            ],
+        },
+        {"name": "fct_sleep_summary", "columns": [{"name": "study_id", "tests": ["unique", "not_null"]}]},
+        {"name": "fct_event_rates", "columns": [{"name": "study_id", "tests": ["unique", "not_null"]}]},
+    ]
+}
+
+
+def check_declared(spark, sf):
+    """The declared tests over the models: a scan for the rows and a shuffle for the keys of each table."""
+    return declared.declared_report(_tables(spark, sf), declared.model_tests(DECLARED_TESTS))
+
+
 def quality_report(spark, sf):
     events = files.typed(sample_view(spark, sf, "raw_events_dirty"), contracts.EVENT_SCHEMA)
     return quality.rule_report(events, quality.EVENT_RULES)
@@ -356,6 +378,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "check_not_null": lambda s, d: models.not_null_tests(_tables(s, d)),
     "check_accepted_values": check_accepted_values,
+    "check_declared": check_declared,
     "unaccepted_values": lambda s, d: quality.unaccepted_values(
         sample_view(s, d, "raw_events"), "event_type", contracts.EVENT_TYPES
     ),
@@ -696,6 +719,9 @@ def _model_sql() -> dict[str, str]:
         + " UNION ALL SELECT 'fct_sleep_summary.rows', '', count(*) FROM fct_sleep_summary"
         + " UNION ALL SELECT 'fct_event_rates.rows', '', count(*) FROM fct_event_rates",
     )
+    accepted = plain["check_accepted_values"].partition(" UNION ALL ")[0]
+    declared_keys = [k for k in plain["check_unique"].split(" UNION ALL ") if "study_id, event_date" not in k]
+    texts["check_declared"] = _over(_MODEL_CTES, " UNION ALL ".join([*declared_keys, plain["check_not_null"], accepted]))
     texts["patient_vs_cohort"] = _over(one, _scorecard(""))
     texts["patient_scorecards"] = _over(every, _scorecard("p.study_id, "))
     return texts

@@ -61,7 +61,7 @@ def clinical_joined(
     if unique_ids:
         joined = studies.join(rates, "study_id", "left")
     else:
-        joined = split_left_join(studies, rates, "study_id", F.monotonically_increasing_id())
+        joined = split_left_join(studies, rates, "study_id", F.monotonically_increasing_id(), F.xxhash64("event_date"))
     return _with_index(
         joined.select(
             *SUMMARY_COLUMNS,
@@ -135,7 +135,7 @@ def cohort_cells(
     daily = rates.groupBy("study_id", breathing).agg(F.count("*").alias("days"))
     days = F.coalesce("days", F.lit(1))
     salt = F.xxhash64("total_sleep_time_min", "age_group")
-    cells = split_left_join(studies, daily, "study_id", salt).select(
+    cells = split_left_join(studies, daily, "study_id", salt, F.col("breathing")).select(
         "study_id",
         "total_sleep_time_min",
         "age_group",

@@ -122,6 +122,28 @@ def unique_report(df: DataFrame, keys: Sequence[str], rule: str = "unique") -> D
     return _report_rows(counts, [(rule, ", ".join(keys))])
 
 
+def unique_reports(df: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """`unique_report` for any number of (rule, keys) on one table, in one shuffle of its rows.
+
+    The key sets are grouping sets: one expansion of the scan, counted within each task before the
+    one exchange. Keys are compared as they are, not by a hash.
+    """
+    columns = list(dict.fromkeys(k for _, keys in rules for k in keys))
+    sets = list(dict.fromkeys(tuple(sorted(keys, key=columns.index)) for _, keys in rules))
+    # In the grouping id the first column is the highest bit; a bit is set where a column is not grouped.
+    ids = {keys: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys) for keys in sets}
+    copies = df.groupingSets([[F.col(c) for c in keys] for keys in sets], *columns).agg(
+        F.grouping_id().alias("_set"), F.count("*").alias("_copies")
+    )
+
+    def broken(keys: Sequence[str]) -> Column:
+        found = (F.col("_set") == ids[tuple(sorted(keys, key=columns.index))]) & (F.col("_copies") > 1)
+        return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], found)
+
+    counts = copies.agg(*[F.count_if(broken(keys)).alias(f"rule_{i}") for i, (_, keys) in enumerate(rules)])
+    return _report_rows(counts, [(rule, ", ".join(keys)) for rule, keys in rules])
+
+
 def unaccepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """The values outside the list with their row counts."""
     return (

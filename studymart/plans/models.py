@@ -69,13 +69,8 @@ def unique_tests(tables: dict[str, DataFrame], strict_rate_key: bool = False) ->
     ]
     if strict_rate_key:
         keys.append(("fct_event_rates", ["study_id"]))
-    return quality.combine(
-        *[
-            quality.unique_report(tables[name], columns, f"{name}.unique")
-            for name, columns in keys
-            if name in tables
-        ]
-    )
+    by_table = {name: [(f"{name}.unique", columns) for n, columns in keys if n == name] for name in tables}
+    return quality.combine(*[quality.unique_reports(tables[name], rules) for name, rules in by_table.items() if rules])
 
 
 def not_null_tests(tables: dict[str, DataFrame]) -> DataFrame:

@@ -103,7 +103,7 @@ def test_a_study_that_multiplies_is_joined_in_parts(spark, no_broadcast, nights,
         spread = joined.groupBy(F.spark_partition_id()).count().toPandas()["count"]
         assert spread.max() < 0.3 * spread.sum()
         plain = summary.join(rates, "study_id", "left").selectExpr("xxhash64(study_id, total_sleep_time_min, deep_min, event_date) AS h")
-        ours = clinical.split_left_join(summary, rates, "study_id", F.monotonically_increasing_id())
+        ours = clinical.split_left_join(summary, rates, "study_id", F.monotonically_increasing_id(), F.col("event_date"))
         digest = "bit_xor(h)", "count(*)"
         ours = ours.selectExpr("xxhash64(study_id, total_sleep_time_min, deep_min, event_date) AS h")
         assert ours.selectExpr(*digest).first() == plain.selectExpr(*digest).first()
@@ -115,5 +115,18 @@ def test_a_study_that_multiplies_is_joined_in_parts(spark, no_broadcast, nights,
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+@pytest.mark.parametrize("part_rows", [4, 30, 1000])
+def test_both_sides_of_a_heavy_key_are_cut(spark, part_rows):
+    """Equal to the plain join for keys heavy on either side or both, missing, null, and with equal salts."""
+    sizes = {"both": (40, 60), "left": (90, 2), "right": (1, 70), "light": (1, 1), "lonely": (9, 0), "other": (0, 5), None: (3, 4)}
+    left = [(k, i) for k, (n, _) in sizes.items() for i in range(n)]
+    right = [(k, i // 2) for k, (_, n) in sizes.items() for i in range(n)]
+    left, right = spark.createDataFrame(left, "k string, a int"), spark.createDataFrame(right, "k string, b int")
+    ours = clinical.split_left_join(left, right, "k", F.col("a"), F.col("b"), part_rows)
+    plain = left.join(right, "k", "left")
+    assert ours.columns == plain.columns
+    assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
