@@ -1,5 +1,7 @@
 """Raw tables -> staging views -> mart tables -> checks."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from studymart.contracts import EVENT_TYPES
@@ -7,10 +9,12 @@ from studymart.operators import quality
 from studymart.operators.clinical import clinical_joined
 from studymart.operators.marts import dim_time, fct_event_rates, fct_sleep_summary
 from studymart.operators.staging import stg_events, stg_sleep_study
+from studymart.sources.commits import CommitLog
 from studymart.sources.tables import source
 
 STAGING_VIEWS = ("stg_sleep_study", "stg_events")
 MART_FACTS = ("fct_sleep_summary", "fct_event_rates")
+MARTS = (*MART_FACTS, "dim_time")
 
 
 def register_staging(spark: SparkSession, raw_database: str) -> None:
@@ -50,9 +54,9 @@ def build_marts(spark: SparkSession, database: str, buckets: int | None = None,
 
 def clinical(spark: SparkSession, database: str) -> DataFrame:
     """The clinical frame over the mart tables; their tested keys leave no heavy study."""
-    return clinical_joined(
-        spark.table(f"{database}.fct_sleep_summary"), spark.table(f"{database}.fct_event_rates"), unique_ids=True
-    )
+    version = published(spark, database)
+    facts = (mart(spark, database, name, version) for name in MART_FACTS)
+    return clinical_joined(*facts, unique_ids=True)
 
 
 def unique_tests(tables: dict[str, DataFrame], strict_rate_key: bool = False) -> DataFrame:
@@ -110,22 +114,63 @@ def mart_tests(spark: SparkSession, database: str, suffix: str = "") -> DataFram
     )
 
 
+def _log(spark: SparkSession, database: str) -> CommitLog:
+    for row in spark.sql(f"DESCRIBE DATABASE {database}").collect():
+        if row.info_name == "Location":
+            return CommitLog(spark, f"{row.info_value}/_published")
+    raise ValueError(f"{database} has no location")
+
+
+def published(spark: SparkSession, database: str) -> dict[str, str]:
+    """The tables that the marts are at present, by name of the mart; all of one run."""
+    return _log(spark, database).latest()[1].get("marts", {})
+
+
+def mart(spark: SparkSession, database: str, name: str, version: dict[str, str] | None = None) -> DataFrame:
+    """A mart as last published, or of a version that `published` gave, so that several fit together."""
+    tables = published(spark, database) if version is None else version
+    return spark.table(f"{database}.{tables[name]}")
+
+
+def _point_views(spark: SparkSession, database: str) -> None:
+    """The plain names are views of the published tables; they follow it one after the other."""
+    for name, table in published(spark, database).items():
+        if spark.catalog.tableExists(f"{database}.{name}") and spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+            spark.sql(f"ALTER TABLE {database}.{name} RENAME TO {database}.{name}__unversioned")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{table}")
+
+
 def publish(spark: SparkSession, database: str, suffix: str) -> None:
-    """Put the tables built with ``suffix`` in the place of their predecessors."""
-    for name in (*MART_FACTS, "dim_time"):
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.sql(f"ALTER TABLE {database}.{name}{suffix} RENAME TO {database}.{name}")
+    """Make the tables built with ``suffix`` the marts: one commit switches all of them.
+
+    Who reads through `mart` or `clinical` sees all old or all new tables at every step. The views are
+    then moved; a run that dies before leaves them on the old tables, which stay until `vacuum`.
+    """
+    log = _log(spark, database)
+    log.commit(log.latest()[0] + 1, {"marts": {name: f"{name}{suffix}" for name in MARTS}})
+    _point_views(spark, database)
+
+
+def vacuum(spark: SparkSession, database: str, keep: int = 2) -> None:
+    """Drop tables of runs that failed or that none of the last ``keep`` commits names; not while a run goes on."""
+    _point_views(spark, database)
+    log = _log(spark, database)
+    used = {t for v in log.versions()[-keep:] for t in log.read(v)["marts"].values()}
+    for row in spark.catalog.listTables(database):
+        if row.name.partition("__")[0] in MARTS and "__" in row.name and row.name not in used:
+            spark.sql(f"DROP TABLE {database}.{row.name}")
 
 
 def run(spark: SparkSession, raw_database: str, database: str, buckets: int | None = None) -> DataFrame:
     """Build everything from the raw tables and return the report of all model tests.
 
-    The staging views are tested first. The marts are built beside their predecessors, tested,
-    and only then take their names; a failed test stops the run and leaves the old ones.
+    The staging views are tested first. The marts are built as tables of their own, tested, and only
+    then published together; a failed test or a killed run leaves the old ones.
     """
     register_staging(spark, raw_database)
     staging = quality.require(staging_tests(spark))
-    build_marts(spark, database, buckets, suffix="__new")
-    marts = quality.require(mart_tests(spark, database, suffix="__new"))
-    publish(spark, database, "__new")
+    suffix = f"__{uuid.uuid4().hex}"
+    build_marts(spark, database, buckets, suffix)
+    marts = quality.require(mart_tests(spark, database, suffix))
+    publish(spark, database, suffix)
     return quality.combine(staging, marts)

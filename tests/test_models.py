@@ -139,3 +139,38 @@ def test_marts_that_fail_their_tests_keep_the_old_ones(spark, databases, base, m
     with pytest.raises(QualityGateError, match="stage_sum"):
         models.run(spark, raw, mart)
     assert spark.table(f"{mart}.fct_sleep_summary").count() == 2
+
+
+@pytest.mark.parametrize("step", ["build_marts", "mart_tests", "publish", "_point_views"])
+def test_readers_see_one_run_at_every_step(spark, databases, base, monkeypatch, step):
+    """A run killed after each step: all marts are of the old run, or all of the new one."""
+    raw, mart = databases
+    load(spark, base, raw)
+    models.run(spark, raw, mart)
+    before = models.published(spark, mart)
+    Path(base, "more_events.csv").write_text(EVENT_LINES.replace(",a", ",b"))
+    Path(base, "more.csv").write_text(STUDY_LINES.replace(",a,", ",c,").replace(",b,", ",d,"))
+    tables.load_csv(spark, f"{base}/more.csv", f"{raw}.sleep_studies", STUDY_SCHEMA)
+    tables.load_csv(spark, f"{base}/more_events.csv", f"{raw}.events", EVENT_SCHEMA)
+    done = getattr(models, step)
+
+    def dies(*args):
+        if step != "_point_views":
+            done(*args)
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(models, step, dies)
+        with pytest.raises(RuntimeError):
+            models.run(spark, raw, mart)
+    now, new = models.published(spark, mart), step in ("publish", "_point_views")
+    assert (now != before) is new
+    assert len({t.partition("__")[2] for t in now.values()}) == 1
+    counts = [models.mart(spark, mart, name).count() for name in models.MART_FACTS]
+    assert counts == ([4, 2] if new else [2, 1])
+    models.run(spark, raw, mart)
+    assert [spark.table(f"{mart}.{name}").count() for name in models.MART_FACTS] == [4, 2]
+    models.vacuum(spark, mart, keep=1)
+    left = [t.name for t in spark.catalog.listTables(mart) if "__" in t.name]
+    assert sorted(left) == sorted(models.published(spark, mart).values())
+    assert models.clinical(spark, mart).count() == 4
