@@ -266,6 +266,20 @@ def hypnogram_timed(spark, sf):
     return signals.hypnogram(materialise(signals.band_power(epochs, SIGNAL_RATE_HZ), "timed_features"))
 
 
+def band_power_samples(spark, sf):
+    """Band power from single samples: some twice, in no order, and some epochs with gaps."""
+    epochs = sample_view(spark, sf, "signal_epochs")
+    per_epoch = 64
+    long = epochs.select("subject_id", "epoch_id", F.posexplode("samples").alias("at", "x"))
+    kind = F.col("epoch_id") % 7
+    long = long.where(~((kind == 3) & (F.col("at") == 5)) & ~((kind == 5) & (F.col("at") >= 60)))
+    long = long.select("subject_id", (F.col("epoch_id") * per_epoch + F.col("at")).alias("i"), "x")
+    again = long.where(F.col("i") % 5 == 0)
+    cut = signals.epochs_of_samples(long.unionByName(again), per_epoch)
+    powers = signals.band_power(cut.drop("gaps", "conflicts"), SIGNAL_RATE_HZ)
+    return powers.withColumn("missing", F.col("missing").cast("long"))
+
+
 # --- Checks -------------------------------------------------------------------
 
 
@@ -405,6 +419,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "signal_analytics": lambda s, d: _analytics(s, d),
     "spectral_long": lambda s, d: signals.spectral_long(_analytics(s, d)),
     "spectral_share": lambda s, d: signals.spectral_share(_analytics(s, d)),
+    "band_power_samples": band_power_samples,
     "hypnogram": hypnogram,
     "hypnogram_subject": lambda s, d: hypnogram(s, d, SUBJECT),
     "hypnogram_timed": hypnogram_timed,
@@ -746,6 +761,12 @@ def _signal_sql() -> dict[str, str]:
                    round(delta_rel, 6) AS delta_rel
             FROM features ORDER BY subject_id, epoch_id""",
     }
+    told = ", ".join(f"CASE missing WHEN 0 THEN round({b}_rel, 6) END AS {b}_rel" for b, _, _ in contracts.BANDS)
+    plain["band_power_samples"] = f"""
+        SELECT f.subject_id, f.epoch_id, missing, {told}
+        FROM features f JOIN (
+            SELECT epoch_id, CAST(CASE epoch_id % 7 WHEN 3 THEN 1 WHEN 5 THEN len(samples) - 60 ELSE 0 END AS BIGINT) AS missing
+            FROM epochs) g ON f.epoch_id = g.epoch_id"""
     plain["hypnogram_subject"] = f"SELECT * FROM ({plain['hypnogram']}) WHERE subject_id = '{SUBJECT}'"
     plain["hypnogram_timed"] = f"""
         SELECT h.*, t.timestamp FROM ({plain["hypnogram"]}) h JOIN ({sql_text("signal_epochs_timed")}) t

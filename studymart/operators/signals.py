@@ -13,6 +13,43 @@ from studymart.functions.spectrum import BAND_COLUMNS, band_power_udf
 AVERAGE_COLUMNS = [f"avg_{name}_rel" for name, _, _ in BANDS]
 
 
+def epochs_of_samples(samples: DataFrame, per_epoch: int) -> DataFrame:
+    """Epochs from single samples (subject_id, i, x), in any order; sample ``i`` counts from 0 along a night.
+
+    One row per subject and epoch of which any sample is there: ``samples`` in order, or NULL where
+    some are missing (a NULL value counts as missing), how many are, and where: ``gaps`` are
+    (first, last) positions. A sample that is there several times counts once; if the values differ
+    the smallest counts, and ``conflicts`` tells how many samples that happened to. Samples without a
+    subject or place belong to no epoch.
+
+    Repeats are folded within each task before the first shuffle; after it an epoch has a value for
+    each of its positions at most, so what is gathered for one row is bounded by ``per_epoch``,
+    however long a night is.
+    """
+    placed = samples.where(F.col("subject_id").isNotNull() & (F.col("i") >= 0) & F.col("x").isNotNull())
+    epoch = F.expr(f"i div {int(per_epoch)}").alias("epoch_id")
+    position = (F.col("i") % per_epoch).cast("int").alias("position")
+    once = placed.groupBy("subject_id", epoch, position).agg(
+        F.min("x").cast("double").alias("x"), (F.min("x") != F.max("x")).cast("int").alias("conflict")
+    )
+    gathered = once.groupBy("subject_id", "epoch_id").agg(
+        F.array_sort(F.collect_list(F.struct("position", "x"))).alias("found"), F.sum("conflict").alias("conflicts")
+    )
+    # Between each found position and the next, and at both ends.
+    before = F.concat(F.array(F.lit(-1)), F.col("found.position"))
+    after = F.concat(F.col("found.position"), F.array(F.lit(int(per_epoch))))
+    gaps = F.zip_with(before, after, lambda b, a: F.struct((b + 1).alias("first"), (a - 1).alias("last")))
+    missing = (F.lit(per_epoch) - F.size("found")).alias("missing")
+    return gathered.select(
+        "subject_id",
+        "epoch_id",
+        F.when(F.size("found") == per_epoch, F.col("found.x")).alias("samples"),
+        missing,
+        F.filter(gaps, lambda g: g["first"] <= g["last"]).alias("gaps"),
+        "conflicts",
+    )
+
+
 def band_power(epochs: DataFrame, sample_rate: float, samples: str = "samples") -> DataFrame:
     """Relative power per frequency band of every epoch; all other columns are kept.
 

@@ -12,7 +12,7 @@ from studymart.operators import clinical, marts
 from studymart.plans import models
 from studymart.session import scratch_path
 
-SIGNAL_QUERIES = {"band_power", "signal_analytics", "spectral_long", "spectral_share", "spectral_subject", "hypnogram"}
+SIGNAL_QUERIES = {"band_power", "band_power_samples", "signal_analytics", "spectral_long", "spectral_share", "spectral_subject", "hypnogram"}
 WRITING_QUERIES = {
     "scan_csv_roundtrip", "csv_null_tokens", "csv_rejects", "partition_read", "medallion_gold", "medallion_rejects", "ingest_once",
     "hypnogram", "hypnogram_subject", "hypnogram_timed", "scan_any", "load_tables", "models_run",

@@ -106,3 +106,24 @@ def test_hypnogram_order(features):
     assert [(r.epoch_id, r.stage_rank, r.delta_rel) for r in got] == [(1, 1, None), (2, 2, 0.5), (10, 2, 0.3)]
     assert [r.subject_id for r in signals.hypnogram(features).collect()] == ["p", "p", "p", "q"]
     assert "timestamp" in signals.hypnogram(features.selectExpr("*", "now() AS timestamp")).columns
+
+
+def test_epochs_of_samples_equal_the_arrays(spark, frame):
+    """Shuffled samples with repeats give the arrays back; gaps, conflicts and samples without a place are told."""
+    rng = np.random.default_rng(8)
+    arrays = {(s, e): rng.normal(size=16).tolist() for s in ("a", "b") for e in range(5)}
+    rows = [(s, e * 16 + k, x) for (s, e), xs in arrays.items() for k, x in enumerate(xs)]
+    rows = [r for r in rows if r[:2] not in {("a", 0), ("a", 1), ("a", 5), ("b", 79)}]
+    rows += rows[::3] * 4 + [("b", 20, 99.0), ("b", 17, None), (None, 3, 1.0), ("b", None, 1.0), ("b", -1, 1.0), ("c", 160, 1.0)]
+    shuffled = [rows[i] for i in rng.permutation(len(rows))]
+    got = {(r.subject_id, r.epoch_id): r for r in signals.epochs_of_samples(frame(shuffled, "subject_id string, i long, x double"), 16).collect()}
+    assert set(got) == {*arrays, ("c", 10)}
+    for key, xs in arrays.items():
+        if key not in {("a", 0), ("b", 4)}:
+            assert got[key].samples == xs and got[key].missing == 0 and got[key].gaps == []
+    first, last, only = got["a", 0], got["b", 4], got["c", 10]
+    assert first.samples is None and first.missing == 3 and [tuple(g) for g in first.gaps] == [(0, 1), (5, 5)]
+    assert last.samples is None and [tuple(g) for g in last.gaps] == [(15, 15)]
+    assert only.missing == 15 and [tuple(g) for g in only.gaps] == [(1, 15)]
+    assert got["b", 1].conflicts == 1 and sum(r.conflicts for r in got.values()) == 1
+    assert signals.epochs_of_samples(frame([], "subject_id string, i long, x double"), 16).count() == 0
