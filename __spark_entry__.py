@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from studymart import contracts
 from studymart.operators import clinical, declared, marts, quality, signals, staging
-from studymart.plans import medallion, models
+from studymart.plans import features, medallion, models
 from studymart.session import materialise, scratch_path
 from studymart.sources import files, tables
 from studymart.sources.sample_views import SIGNAL_RATE_HZ, sample_view, sql_text
@@ -239,6 +239,14 @@ def models_run(spark, sf):
     return report.unionByName(spark.createDataFrame(rows, contracts.REPORT_SCHEMA))
 
 
+def signal_mart(spark, sf):
+    """The signal mart after its features grew in two runs, each computing only its new epochs."""
+    root, epochs = scratch_path(spark, "signals"), sample_view(spark, sf, "signal_epochs")
+    for known in (epochs.where("epoch_id % 3 = 0"), epochs):
+        features.grow(spark, known, root, SIGNAL_RATE_HZ)
+    return features.signal_means(spark, root)
+
+
 def ingest_once_rows(spark, sf):
     """Rows loaded by a first run over landed files and by a second run over the same files."""
     base = scratch_path(spark, "ingest")
@@ -416,6 +424,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_calendar": lambda s, d: medallion.backfill_calendar(_stg_events(s, d), *CALENDAR),
     "ingest_once": ingest_once_rows,
     "band_power": _features,
+    "signal_mart": signal_mart,
     "signal_analytics": lambda s, d: _analytics(s, d),
     "spectral_long": lambda s, d: signals.spectral_long(_analytics(s, d)),
     "spectral_share": lambda s, d: signals.spectral_share(_analytics(s, d)),
@@ -767,6 +776,7 @@ def _signal_sql() -> dict[str, str]:
         FROM features f JOIN (
             SELECT epoch_id, CAST(CASE epoch_id % 7 WHEN 3 THEN 1 WHEN 5 THEN len(samples) - 60 ELSE 0 END AS BIGINT) AS missing
             FROM epochs) g ON f.epoch_id = g.epoch_id"""
+    plain["signal_mart"] = plain["signal_analytics"]
     plain["hypnogram_subject"] = f"SELECT * FROM ({plain['hypnogram']}) WHERE subject_id = '{SUBJECT}'"
     plain["hypnogram_timed"] = f"""
         SELECT h.*, t.timestamp FROM ({plain["hypnogram"]}) h JOIN ({sql_text("signal_epochs_timed")}) t

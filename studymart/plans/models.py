@@ -1,6 +1,7 @@
 """Raw tables -> staging views -> mart tables -> checks."""
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,12 +10,14 @@ from studymart.operators import quality
 from studymart.operators.clinical import clinical_joined
 from studymart.operators.marts import dim_time, fct_event_rates, fct_sleep_summary
 from studymart.operators.staging import stg_events, stg_sleep_study
+from studymart.plans import features
 from studymart.sources.commits import CommitLog
 from studymart.sources.tables import source
 
 STAGING_VIEWS = ("stg_sleep_study", "stg_events")
 MART_FACTS = ("fct_sleep_summary", "fct_event_rates")
 MARTS = (*MART_FACTS, "dim_time")
+SIGNAL_MART = "fct_signal_analytics"
 
 
 def register_staging(spark: SparkSession, raw_database: str) -> None:
@@ -140,14 +143,16 @@ def _point_views(spark: SparkSession, database: str) -> None:
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{table}")
 
 
-def publish(spark: SparkSession, database: str, suffix: str) -> None:
+def publish(spark: SparkSession, database: str, suffix: str, names: Sequence[str] = MARTS) -> None:
     """Make the tables built with ``suffix`` the marts: one commit switches all of them.
 
     Who reads through `mart` or `clinical` sees all old or all new tables at every step. The views are
     then moved; a run that dies before leaves them on the old tables, which stay until `vacuum`.
     """
     log = _log(spark, database)
-    log.commit(log.latest()[0] + 1, {"marts": {name: f"{name}{suffix}" for name in MARTS}})
+    version, state = log.latest()
+    new = {name: f"{name}{suffix}" for name in names}
+    log.commit(version + 1, {"marts": {**state.get("marts", {}), **new}})
     _point_views(spark, database)
 
 
@@ -157,13 +162,38 @@ def vacuum(spark: SparkSession, database: str, keep: int = 2) -> None:
     log = _log(spark, database)
     used = {t for v in log.versions()[-keep:] for t in log.read(v)["marts"].values()}
     for row in spark.catalog.listTables(database):
-        if row.name.partition("__")[0] in MARTS and "__" in row.name and row.name not in used:
+        if row.name.partition("__")[0] in (*MARTS, SIGNAL_MART) and "__" in row.name and row.name not in used:
             spark.sql(f"DROP TABLE {database}.{row.name}")
 
 
-def run(spark: SparkSession, raw_database: str, database: str, buckets: int | None = None) -> DataFrame:
+def _features_root(spark: SparkSession, database: str) -> str:
+    return f"{_log(spark, database).folder.rpartition('/')[0]}/_signals"
+
+
+def build_signals(spark: SparkSession, database: str, epochs: DataFrame, sample_rate: float, suffix: str) -> int:
+    """Grow the stored features by new epochs and build their mart; returns how many spectra were computed.
+
+    The features are the staging view ``stg_signal_features``.
+    """
+    root = _features_root(spark, database)
+    n = features.grow(spark, epochs, root, sample_rate)
+    features.signal_features(spark, root).createOrReplaceTempView("stg_signal_features")
+    _save(features.signal_means(spark, root), f"{database}.{SIGNAL_MART}{suffix}", None)
+    return n
+
+
+def run(
+    spark: SparkSession,
+    raw_database: str,
+    database: str,
+    buckets: int | None = None,
+    epochs: DataFrame | None = None,
+    sample_rate: float | None = None,
+) -> DataFrame:
     """Build everything from the raw tables and return the report of all model tests.
 
+    With signal ``epochs`` the feature table grows by those it lacks, and its mart is published too.
+
     The staging views are tested first. The marts are built as tables of their own, tested, and only
     then published together; a failed test or a killed run leaves the old ones.
     """
@@ -171,6 +201,10 @@ def run(spark: SparkSession, raw_database: str, database: str, buckets: int | No
     staging = quality.require(staging_tests(spark))
     suffix = f"__{uuid.uuid4().hex}"
     build_marts(spark, database, buckets, suffix)
+    names = MARTS
+    if epochs is not None:
+        build_signals(spark, database, epochs, sample_rate, suffix)
+        names = (*MARTS, SIGNAL_MART)
     marts = quality.require(mart_tests(spark, database, suffix))
-    publish(spark, database, suffix)
+    publish(spark, database, suffix, names)
     return quality.combine(staging, marts)

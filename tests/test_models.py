@@ -6,7 +6,8 @@ import pytest
 from studymart.__main__ import main
 from studymart.contracts import EVENT_SCHEMA, STUDY_SCHEMA
 from studymart.operators.quality import QualityGateError
-from studymart.plans import models
+from studymart.operators import signals
+from studymart.plans import features, models
 from studymart.sources import tables
 
 STUDY_LINES = (
@@ -174,3 +175,40 @@ def test_readers_see_one_run_at_every_step(spark, databases, base, monkeypatch,
     left = [t.name for t in spark.catalog.listTables(mart) if "__" in t.name]
     assert sorted(left) == sorted(models.published(spark, mart).values())
     assert models.clinical(spark, mart).count() == 4
+
+
+def test_features_grow_by_new_epochs(spark, databases, base, monkeypatch):
+    raw, mart = databases
+    load(spark, base, raw)
+    night = lambda ids: spark.createDataFrame(
+        [(f"p{i % 2}", i, f"Sleep stage {1 + i % 3}", [float((i * k * k) % 11) for k in range(64)]) for i in ids],
+        "subject_id string, epoch_id long, sleep_stage string, samples array<double>",
+    )
+    computed, power = [], features.band_power
+    monkeypatch.setattr(features, "band_power", lambda df, rate: power(computed.append(df.count()) or df, rate))
+    for ids in (range(6), range(6), range(10)):
+        models.run(spark, raw, mart, epochs=night(ids), sample_rate=128.0)
+    assert computed == [6, 0, 4]
+    whole = signals.signal_analytics(power(night(range(10)), 128.0))
+    rounded = lambda df: sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()])
+    assert rounded(models.mart(spark, mart, "fct_signal_analytics")) == rounded(whole)
+    assert spark.table("stg_signal_features").count() == 10
+    with pytest.raises(ValueError, match="p0/20"):
+        models.run(spark, raw, mart, epochs=night([20, 20]), sample_rate=128.0)
+    assert spark.table(f"{mart}.fct_signal_analytics").count() == whole.count()
+
+
+def test_a_killed_growth_adds_nothing(spark, base, monkeypatch):
+    epochs = spark.createDataFrame([("p", 1, "s", [1.0, 2.0, 4.0, 1.0])], "subject_id string, epoch_id long, sleep_stage string, samples array<double>")
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(features.CommitLog, "commit", dies)
+        with pytest.raises(RuntimeError):
+            features.grow(spark, epochs, f"{base}/signals", 128.0)
+    with pytest.raises(ValueError):
+        features.signal_features(spark, f"{base}/signals")
+    assert features.grow(spark, epochs, f"{base}/signals", 128.0) == 1
+    assert features.signal_features(spark, f"{base}/signals").count() == 1

@@ -16,7 +16,7 @@ SIGNAL_QUERIES = {"band_power", "band_power_samples", "signal_analytics", "spect
 WRITING_QUERIES = {
     "scan_csv_roundtrip", "csv_null_tokens", "csv_rejects", "partition_read", "medallion_gold", "medallion_rejects", "ingest_once",
     "hypnogram", "hypnogram_subject", "hypnogram_timed", "scan_any", "load_tables", "models_run",
-    "medallion_refreshed", "load_ledger", "csv_line_breaks",
+    "medallion_refreshed", "load_ledger", "csv_line_breaks", "signal_mart",
 }
 
 
