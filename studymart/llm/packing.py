@@ -28,6 +28,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Tokens that a task gathers before it packs them; bounds its memory.
 BLOCK_TOKENS = 2_000_000
+#: Tokens that may wait for a better window from one block to the next.
+POOL_TOKENS = 2_000_000
 #: The last window of a task is padded if that takes at most so many tokens.
 LAST_PADDING = 32
 
@@ -132,44 +134,51 @@ class Packer:
         self.capacity = capacity
         self.next_id = task << 33
         self.pool: dict[int, list] = {}  # by length: (document, start) of remainders
+        self.pooled = 0  # tokens of the remainders
         self.lengths: list[int] = []  # of the pool, ascending
         self.rows: list[tuple] = []
 
     def sequence(self, pieces: list[tuple]) -> None:
-        """pieces: ((doc_id, ids), start, length)."""
+        """pieces: ((doc_id, ids, place of the first of them, tokens of the document), start, length)."""
         at = 0
-        for (doc, ids), start, n in pieces:
-            self.rows.append((doc, start, n, ids[4 * start : 4 * (start + n)], len(ids) // 4, self.next_id, at))
+        for (doc, ids, base, total), start, n in pieces:
+            own = ids[4 * (start - base) : 4 * (start - base + n)]
+            self.rows.append((doc, start, n, own, total, self.next_id, at))
             at += n
         self.next_id += 1
 
     def add(self, doc: int | None, ids: bytes) -> None:
-        document, total = (doc, ids), len(ids) // 4
+        total = len(ids) // 4
         whole = total - total % self.capacity
         for start in range(0, whole, self.capacity):
-            self.sequence([(document, start, self.capacity)])
-        if total > whole:
-            self._put(document, whole, total - whole)
+            self.sequence([((doc, ids, 0, total), start, self.capacity)])
+        if total > whole:  # the pool keeps the ids of the remainder only
+            self._put((doc, ids[4 * whole :], whole, total), whole, total - whole)
 
     def _put(self, document: tuple, start: int, length: int) -> None:
         if length not in self.pool:
             self.pool[length] = []
             insort(self.lengths, length)
         self.pool[length].append((document, start))
+        self.pooled += length
 
     def _take(self, length: int) -> tuple:
         document, start = self.pool[length].pop()
+        self.pooled -= length
         if not self.pool[length]:
             del self.pool[length]
             del self.lengths[bisect_left(self.lengths, length)]
         return document, start, length
 
     def pack(self, last: bool) -> None:
-        """Fills windows from the pool; but for the last call, what fills none stays for the next block."""
+        """Fills windows from the pool; but for the last call, what fills none stays for the next block.
+
+        No more than ``POOL_TOKENS`` stay: beyond, the fullest windows are closed by cutting.
+        """
         while self.pool:
             chosen = fullest(self.lengths, lambda n: len(self.pool[n]), self.capacity)
             slack = self.capacity - sum(n * k for n, k in chosen.items())
-            if slack and not last:
+            if slack and not last and self.pooled <= POOL_TOKENS:
                 return
             for _ in range(1 if slack else min(len(self.pool[n]) // k for n, k in chosen.items())):
                 pieces = [self._take(n) for n, k in chosen.items() for _ in range(k)]
@@ -218,7 +227,7 @@ def pack(
     Strings of ``added`` get their one id wherever they stand, as ``tokenizers`` gives it with those of
     ``added_tokens``; by default there are none, and strings of special tokens are ordinary text.
     Pieces of a sequence follow each other gaplessly by ``offset``. Sequence ids are unique and, for the same input splits, the same in every run.
-    Memory: a block of tokens, plus the longest single document.
+    Memory: a block of tokens and a pool of at most ``POOL_TOKENS``, plus the longest single document.
     """
 
     special = tuple((added or {}).items())

@@ -167,3 +167,29 @@ def test_format_reads_back(spark):
         assert [(t.role, t.text) for t in r.turns] == [(x[2] or "", x[3] or "") for x in own]
         assert [t.loss_text for t in r.turns] == [(x[3] or "") if x[2] == "assistant" else "" for x in own]
     assert chat.render(chat.final_messages(chat.turn_events(table.limit(0)))).count() == 0
+
+
+def test_the_pool_of_remainders_is_bounded(monkeypatch):
+    """Equal lengths that never fill a window: what waits stays bounded, and little is padded."""
+    monkeypatch.setattr(packing, "POOL_TOKENS", 100_000)
+    packer, most, pieces = packing.Packer(0, 2048), 0, []
+    ids = np.arange(1500, dtype="<u4").tobytes()
+    for block in range(30):
+        for i in range(200):
+            packer.add(block * 200 + i, ids)
+        packer.pack(last=False)
+        most = max(most, packer.pooled)
+        kept = sum(len(d[1]) for waiting in packer.pool.values() for d, _ in waiting)
+        assert kept <= 4 * 1500 * len([d for waiting in packer.pool.values() for d in waiting])
+        pieces += packer.rows
+        packer.rows = []
+    packer.pack(last=True)
+    pieces += packer.rows
+    assert most <= 100_000
+    whole, windows = {}, {}
+    for doc, start, n, own, total, sequence, offset in sorted(pieces, key=lambda r: (r[0], r[1])):
+        assert (start, total) == (whole.get(doc, 0), 1500) and own == ids[4 * start : 4 * (start + n)]
+        whole[doc] = start + n
+        windows[sequence] = windows.get(sequence, 0) + n
+    assert len(whole) == 6000 and set(whole.values()) == {1500}
+    assert max(windows.values()) <= 2048 and len(windows) * 2048 - 6000 * 1500 < 3 * 2048
