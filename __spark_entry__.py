@@ -38,9 +38,13 @@ CALENDAR = ("2023-12-28", "2024-02-03")
 DAYS = (date(2024, 1, 10), date(2024, 1, 19))
 
 
+#: Doubles that queries pass on as they were read.
+AS_READ = {"duration_sec", "total_sleep_time_min", "rem_min", "deep_min", "light_min"}
+
+
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six places; engines differ in the order they add up means."""
-    return clinical.display(df, 6)
+    """Computed doubles to six places; engines differ in the order they add up means."""
+    return df.withColumns({c: F.round(c, 6) for c, kind in df.dtypes if kind == "double" and c not in AS_READ})
 
 
 # --- Inputs -------------------------------------------------------------------
@@ -614,9 +618,9 @@ def _model_sql() -> dict[str, str]:
     one = {**_MODEL_CTES, "patients": f"SELECT * FROM first_rows WHERE study_id = '{PATIENT}'"}
     every = {**_MODEL_CTES, "patients": "SELECT * FROM first_rows"}
     plain = {
-        "stg_events": "SELECT study_id, round(duration_sec, 6) AS duration_sec, study_datetime, event_type, event_date FROM stg_events",
+        "stg_events": "SELECT study_id, duration_sec, study_datetime, event_type, event_date FROM stg_events",
         "stg_sleep_study": "SELECT * FROM raw_sleep_studies",
-        "bronze_to_silver": f"SELECT * REPLACE (round(duration_sec, 6) AS duration_sec) FROM ({_SILVER} FROM raw_events)",
+        "bronze_to_silver": f"SELECT * FROM ({_SILVER} FROM raw_events)",
         "fct_event_rates": f"SELECT {rates} FROM fct_event_rates",
         "fct_sleep_summary": f"SELECT {study_columns} FROM fct_sleep_summary",
         "dim_time": """
@@ -693,13 +697,13 @@ def _model_sql() -> dict[str, str]:
         "check_stage_sum": f"""
             SELECT {study_columns} FROM fct_sleep_summary
             WHERE total_sleep_time_min < rem_min + deep_min + light_min - 1""",
-        "scan_csv_roundtrip": "SELECT study_id, event_type, round(duration_sec, 6) AS duration_sec, study_datetime FROM raw_events",
-        "load_tables": "SELECT study_id, event_type, round(duration_sec, 6) AS duration_sec, study_datetime FROM raw_events",
+        "scan_csv_roundtrip": "SELECT study_id, event_type, duration_sec, study_datetime FROM raw_events",
+        "load_tables": "SELECT study_id, event_type, duration_sec, study_datetime FROM raw_events",
         "scan_any": """
-            SELECT study_id, event_type, round(duration_sec, 6) AS duration_sec, study_datetime, kind
+            SELECT study_id, event_type, duration_sec, study_datetime, kind
             FROM raw_events, (VALUES ('csv'), ('parquet')) k(kind)""",
         "partition_read": f"""
-            SELECT * REPLACE (round(duration_sec, 6) AS duration_sec), event_date AS dt FROM ({_SILVER} FROM raw_events)
+            SELECT *, event_date AS dt FROM ({_SILVER} FROM raw_events)
             WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'""",
         "load_ledger": """
             SELECT count(*) AS rows_0, count(*) AS rows_1, 2 * count(*) AS rows_2, CAST(2 AS BIGINT) AS loads FROM raw_events""",

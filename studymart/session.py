@@ -1,5 +1,8 @@
 """Session settings the jobs rely on, and the shared scratch folder."""
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -29,6 +32,14 @@ def build_session(app_name: str, master: str | None = None, **conf) -> SparkSess
     return builder.getOrCreate()
 
 
+@functools.lru_cache(maxsize=1)
+def _local_base(application: str) -> str:
+    """One temporary folder for all of a local application's scratch, removed when Python ends."""
+    base = tempfile.mkdtemp(prefix="studymart-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, removed when the application ends.
 
@@ -39,7 +50,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="studymart-")
+        base = _local_base(spark.sparkContext.applicationId)
     path = f"{base.rstrip('/')}/studymart-{uuid.uuid4().hex}/{name}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
