@@ -77,13 +77,14 @@ def published(
     """
     root, first, last = folder(base, layer), _as_date(start), _as_date(end)
     days = published_days(spark, base, layer)
-    paths = [day_path(_attempt(base, layer, a), d) for d, a in sorted(days.items()) if a and first <= d <= last]
+    full = [(d, day_path(_attempt(base, layer, a), d)) for d, a in sorted(days.items()) if a]
+    paths = [path for d, path in full if first <= d <= last]
+    if not days:
+        raise MissingInput(f"{root} has nothing published")
+    if not full:
+        return spark.read.parquet(_empty(base, layer))
     if not paths:
-        if not days:
-            raise MissingInput(f"{root} has nothing published")
-        schema = spark.read.parquet(_empty(base, layer)).schema
-        return spark.createDataFrame([], schema)
-    # One attempt's files give the schema; files of older attempts may lack its newer columns.
+        return scan_parquet(spark, full[0][1], base_path=root).drop("attempt").limit(0)
     return scan_parquet(spark, paths, base_path=root).drop("attempt")
 
 

@@ -42,6 +42,16 @@ def test_one_day(spark, lake):
     assert silver[0].study_datetime == datetime(2024, 1, 1, 22)
 
 
+def test_published_days_are_pruned(spark, lake):
+    with pytest.raises(MissingInput):
+        medallion.published(spark, lake, "gold")
+    medallion.backfill(spark, lake, "2024-01-01", "2024-01-02")
+    second = medallion.published(spark, lake, "gold", "2024-01-02", "2024-01-09")
+    assert second.count() == 1 and len({Path(f).parent.name for f in second.inputFiles()}) == 1
+    none = medallion.published(spark, lake, "gold", "2030-01-01")
+    assert none.count() == 0 and none.columns == second.columns
+
+
 def test_range_is_inclusive_and_rerun_changes_nothing(spark, lake):
     for _ in range(2):
         medallion.backfill(spark, lake, date(2024, 1, 1), "2024-01-02")
