@@ -1,0 +1,105 @@
+"""Whole registered queries against independent plain Python."""
+
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import sentencepiece
+import xxhash
+from conftest import DATA
+from tokenizers import Tokenizer
+
+from studymart.llm import queries
+
+
+def documents(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+
+
+def plain_fingerprint(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0d]+", lowered)
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    ones = [0] * 64
+    for shingle in shingles:
+        h = xxhash.xxh64_intdigest(shingle.encode(), 42)
+        for bit in range(64):
+            ones[bit] += h >> bit & 1
+    return sum(1 << bit for bit in range(64) if 2 * ones[bit] > len(shingles))
+
+
+def test_simhash_query(spark):
+    docs = documents(spark)
+    prints = {doc: plain_fingerprint(text) for doc, text in docs}
+    root = {doc: doc for doc in prints}
+
+    def find(doc):
+        while root[doc] != doc:
+            doc = root[doc]
+        return doc
+
+    ids = sorted(prints)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    expected = {doc: (f"{prints[doc]:016x}", find(doc)) for doc in ids}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op6_simhash(spark, DATA).collect()}
+    assert got == expected
+    sizes = defaultdict(int)
+    for _, component in expected.values():
+        sizes[component] += 1
+    assert max(sizes.values()) > 1
+
+
+def test_token_counts_query(spark):
+    """Greedy longest match, piece by piece, over the words of all documents."""
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = {
+        model.id_to_piece(i)
+        for i in range(model.get_piece_size())
+        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
+    }
+    longest, known = max(map(len, pieces)), {}
+
+    def count(word):
+        if word not in known:
+            rest, n = "▁" + word, 0
+            while rest:
+                size = next((k for k in range(min(longest, len(rest)), 0, -1) if rest[:k] in pieces), 0)
+                if not size:
+                    n = 0
+                    break
+                rest, n = rest[size:], n + 1
+            known[word] = n
+        return known[word]
+
+    expected = {}
+    for doc, text in documents(spark):
+        counts = [count(w) for w in (text or "").split()]
+        stuck = counts.count(0)
+        expected[doc] = (len(counts), sum(counts) + stuck, stuck)
+    got = {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in queries.op5_token_counts(spark, DATA).collect()}
+    assert got == expected
+
+
+def test_packing_query(spark):
+    """Every id of the library in exactly one piece, sequences without gaps, little padding."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {d: [*library.encode(t or "", add_special_tokens=False).ids, 1] for d, t in documents(spark)}
+    rows = queries.op2_packing(spark, DATA).collect()
+    at, ends = defaultdict(int), defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        own = ids[r.doc_id][r.start : r.start + r.length]
+        assert (r.start, r.doc_tokens) == (at[r.doc_id], len(ids[r.doc_id])) and len(own) == r.length
+        assert r.ids_crc32 == zlib.crc32(np.array(own, "<u4").tobytes())
+        at[r.doc_id] += r.length
+    assert at == {d: len(x) for d, x in ids.items()}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends[r.sequence_id]
+        ends[r.sequence_id] += r.length
+    padded = sum(0 if n & (n - 1) == 0 else 2048 - n for n in ends.values())
+    assert max(ends.values()) <= 2048 and padded < 0.01 * sum(ends.values())
