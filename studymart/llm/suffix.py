@@ -326,11 +326,11 @@ _RUN = pa.schema([("doc", pa.int64()), ("copy", pa.int32()), ("start", pa.int64(
 def _promising(data: list[bytes], at: list[int]) -> np.ndarray:
     """Pieces that may share a window with another: those that share one side of the anchor.
 
-    Pieces without an anchor (at: -1) are single windows and stay.
+    Pieces without an anchor (at: -1) are single windows; they share all or nothing.
     """
     sides = [_sides(d, a) if a >= 0 else (d, None) for d, a in zip(data, at)]
     seen = [Counter(s[i] for s in sides if s[i] is not None) for i in (0, 1)]
-    return np.array([a < 0 or seen[0][x] > 1 or seen[1][y] > 1 for (x, y), a in zip(sides, at)], bool)
+    return np.array([seen[0][x] > 1 or seen[1][y] > 1 for x, y in sides], bool)
 
 
 def _repeats(pieces: pa.Table) -> pa.Table:
